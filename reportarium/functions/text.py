@@ -18,8 +18,8 @@ def unix_lines(text: Column) -> Column:
 
 def lines_of(text: Column) -> Column:
     """Array of lines without their newline; a final newline opens no line."""
-    body = F.when(text.endswith("\n"), F.expr("1")).otherwise(F.lit(0))
-    cut = F.substring(text, F.lit(1), F.char_length(text) - body)
+    closing = F.when(text.endswith("\n"), 1).otherwise(0)
+    cut = F.substring(text, F.lit(1), F.char_length(text) - closing)
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(cut, "\n"))
 
 

@@ -30,28 +30,32 @@ def latest_per_key(
     return first_per_key(df, keys, order)
 
 
-def unique_dimension(df: DataFrame, key: str | Column, keep: Sequence[str]) -> DataFrame:
-    """Look-up table with one row per key, so that joining it cannot multiply rows."""
-    key_col = F.col(key) if isinstance(key, str) else key
-    slim = df.select(key_col.alias("__key"), *keep).filter("__key is not null")
-    return first_per_key(slim, ["__key"], [F.col(c).asc_nulls_last() for c in keep])
+def unique_dimension(dimension: DataFrame, key: Column, columns: Sequence[str]) -> DataFrame:
+    """``__key`` and ``columns`` with one row per key, so that joining cannot multiply rows."""
+    slim = dimension.select(key.alias("__key"), *columns).filter("__key is not null")
+    return first_per_key(slim, ["__key"], [F.col(c).asc_nulls_last() for c in columns])
 
 
-def look_up(df: DataFrame, dimension: DataFrame, key: Column, columns: Sequence[str]) -> DataFrame:
-    """Add columns of a dimension by key; first match only, no match gives null.
+def look_up(
+    df: DataFrame, on: Column, dimension: DataFrame, key: Column, columns: Sequence[str]
+) -> DataFrame:
+    """Add ``columns`` of a dimension: one match per row, no match gives nulls.
 
-    No broadcast hint: the optimizer broadcasts the dimension if its measured size
-    allows, and otherwise splits hot keys of the sort-merge join.
+    No broadcast hint: Spark broadcasts the dimension where its measured size allows,
+    and otherwise splits the hot keys of a sort-merge join.
     """
-    unique = unique_dimension(dimension, dimension.columns[0], columns)
-    return df.join(unique, key == F.col("__key"), "left").drop("__key")
+    unique = unique_dimension(dimension, key, columns)
+    return df.withColumn("__on", on).join(unique, F.col("__on") == F.col("__key"), "left").drop(
+        "__on", "__key"
+    )
 
 
-def not_in(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
+def not_in(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not among the known keys.
 
     The known keys (a whole history) are first cut down to those of this batch, so
     the anti join meets two sides of batch size.
     """
-    seen = known.select(key).join(df.select(key).distinct(), key, "left_semi")
-    return df.join(seen, key, "left_anti")
+    keys = list(keys)
+    seen = known.select(*keys).join(df.select(*keys).distinct(), keys, "left_semi").distinct()
+    return df.join(seen, keys, "left_anti")
