@@ -297,7 +297,7 @@ def sql_chunks(t: Tables) -> DataFrame:
 
 def extraction_stats(t: Tables) -> DataFrame:
     found = extraction.extraction_stats(roles.calls(t))
-    return found.withColumn("execution_time_sec", F.round("execution_time_sec", 4))
+    return found.withColumn("execution_time_sec", F.round("execution_time_sec", 6))
 
 
 def run_totals(t: Tables) -> DataFrame:
