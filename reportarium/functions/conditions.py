@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from reportarium.functions.text import strip
+
 # Event types that count as editing.
 EDITOR_EVENTS = ("Edit", "Deliver", "Modify", "Save", "Delete", "Create")
 
@@ -80,5 +82,4 @@ def any_true(flag: Column) -> Column:
 
 def is_done(status: Column) -> Column:
     """Work-list status that means finished, whatever its case or white space."""
-    cleaned = F.upper(F.regexp_replace(status, r"^\s+|\s+$", ""))
-    return F.coalesce(cleaned == "TRUE", F.lit(False))
+    return F.coalesce(F.upper(strip(status)) == "TRUE", F.lit(False))

@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed value: characters that count as white space at the ends of a text.
+WHITE_SPACE = (
+    "\t\n\x0b\f\r \x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(text: Column) -> Column:
-    """Cut white space of every kind at both ends (``trim`` cuts blanks only)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Cut white space of every kind at both ends (a plain ``trim`` cuts blanks only)."""
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def unix_lines(text: Column) -> Column:
@@ -52,6 +62,21 @@ def report_label(name: Column, number: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Words between white space; an empty or blank text has none."""
-    stripped = strip(text)
-    return F.when(stripped == "", F.lit(0)).otherwise(F.size(F.split(stripped, r"\s+")))
+    """Words between white space."""
+    return F.regexp_count(text, F.lit(r"\S+"))
+
+
+def keyword_matches(text: Column, keywords: Iterable[str]) -> Column:
+    """Keywords found in a text as whole words, in order, in lower case.
+
+    One pass over the text for all keywords: from left to right, the longest keyword
+    first, without overlap. Words of a phrase may be apart by anything but letters and
+    digits.
+    """
+    ordered = sorted({k.lower() for k in keywords}, key=lambda k: (-len(k), k))
+    choices = "|".join("[^a-z0-9]+".join(re.escape(w) for w in k.split()) for k in ordered)
+    pattern = f"(?<![a-z0-9])(?:{choices})(?![a-z0-9])"
+    found = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
+    if not any(" " in k for k in ordered):
+        return found
+    return F.transform(found, lambda k: F.regexp_replace(k, "[^a-z0-9]+", " "))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reportarium.functions.text import strip, word_count
+from reportarium.functions.text import keyword_matches, word_count
 from reportarium.schemas import ANSWER
 
 # What an answer may contain.
@@ -110,9 +110,9 @@ def bad_values(
 
 
 def sentence_count(text: Column) -> Column:
-    """Sentences of a text: what stands between marks that are followed by white space."""
-    body = F.regexp_replace(strip(text), r"[.!?]+$", "")
-    return F.when(body == "", F.lit(0)).otherwise(F.size(F.split(body, r"[.!?]+\s+")))
+    """Sentences of a text; one ends at marks that are followed by white space and more."""
+    breaks = F.regexp_count(text, F.lit(r"[.!?]\s+\S"))
+    return F.when(text.rlike(r"[^\s.!?]"), breaks + 1).when(text.isNotNull(), 0)
 
 
 def bad_lengths() -> Column:
@@ -130,10 +130,12 @@ def bad_lengths() -> Column:
 
 def forbidden_terms(text: Column, terms: Sequence[str] = FORBIDDEN) -> Column:
     """Terms of the list that occur in the text as whole words, whatever their case."""
-    words = F.concat(
-        F.lit(" "), F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "), F.lit(" ")
-    )
-    return _names({t: F.contains(words, F.lit(f" {t.lower()} ")) for t in terms})
+    found = F.array_distinct(keyword_matches(F.coalesce(text, F.lit("")), terms))
+    listed = {t.lower(): t for t in terms}
+    if all(k == t for k, t in listed.items()):
+        return F.sort_array(found)
+    written = F.create_map(*(F.lit(x) for pair in listed.items() for x in pair))
+    return F.sort_array(F.transform(found, lambda k: written[k]))
 
 
 def check_answers(

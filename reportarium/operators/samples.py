@@ -27,35 +27,37 @@ def with_column_sample(df: DataFrame, text: str, samples: int = SAMPLE_LINES) ->
     equal headers the later column counts. A text with one column has no ``columns`` but
     the plain sample; one without data rows has an empty ``columns``.
     """
-    header = F.split(F.get("__lines", F.lit(0)), "\t")
     below = F.filter("__lines", lambda line, place: (place > 0) & (line != ""))
     rows = F.transform(F.slice(below, 1, samples), lambda line: F.split(line, "\t"))
-    single = F.size("__header") == 1
-
-    def last_position(name: Column) -> Column:
-        back = F.array_position(F.reverse("__header"), name).cast("int")
-        return F.size("__header") - back
-
+    header = F.split(F.get("__lines", F.lit(0)), "\t")
+    places = F.array_sort(
+        F.transform(header, lambda name, place: F.struct(name.alias("name"), place.alias("place")))
+    )
+    # Sorted by name and place, the last of equal names is followed by another name.
+    lasting = F.filter(
+        "__places",
+        lambda p, i: ~F.coalesce(F.get("__places", i + 1)["name"] == p["name"], F.lit(False)),
+    )
+    ordered = F.array_sort(
+        F.transform(lasting, lambda p: F.struct(p["place"].alias("place"), p["name"].alias("name")))
+    )
     columns = F.transform(
-        F.array_distinct("__header"),
-        lambda name: F.struct(
-            name.alias("name"),
-            F.transform("__rows", lambda row: F.get(row, last_position(name))).alias("values"),
+        ordered,
+        lambda p: F.struct(
+            p["name"].alias("name"),
+            F.transform("__rows", lambda row: F.get(row, p["place"])).alias("values"),
         ),
     )
+    single = F.size("__places") == 1
     none = F.array().cast("array<struct<name: string, values: array<string>>>")
     kept = df.columns
-    return (
-        df.withColumn("__lines", lines_of(F.col(text)))
-        .withColumn("__header", header)
-        .withColumn("__rows", rows)
-        .select(
-            *kept,
-            F.when(F.size("__rows") == 0, none).when(~single, columns).alias("columns"),
-            F.when(
-                (F.size("__rows") > 0) & single, sample_text(F.col(text), samples)
-            ).alias("sample_text"),
-        )
+    lined = df.select(*kept, lines_of(F.col(text)).alias("__lines"))
+    return lined.select(*kept, rows.alias("__rows"), places.alias("__places")).select(
+        *kept,
+        F.when(F.size("__rows") == 0, none).when(~single, columns).alias("columns"),
+        F.when((F.size("__rows") > 0) & single, sample_text(F.col(text), samples)).alias(
+            "sample_text"
+        ),
     )
 
 
@@ -93,8 +95,8 @@ def table_blocks(text: Column, rows: int = BLOCK_ROWS, compat: bool = False) ->
 
     ``compat`` reproduces the older scan: a block also ends at the row after the last
     kept one, everything up to the next blank line after the closing line is skipped
-    (also when the closing line is itself blank), a block open at the end of the text is
-    lost, and a later block replaces an earlier one of the same title.
+    (also when the closing line is itself blank), and a block open at the end of the text
+    is lost.
     """
     no, yes = F.lit(False), F.lit(True)
     untitled = F.lit(None).cast("string")
@@ -139,23 +141,24 @@ def table_blocks(text: Column, rows: int = BLOCK_ROWS, compat: bool = False) ->
             return state["found"]
         return F.when(F.size(state["rows"]) > 0, _closed(state, compat)).otherwise(state["found"])
 
-    found = F.aggregate(lines_of(text), start, step, finish)
-    if not compat:
-        return found
-
-    def is_last(block: Column, place: Column) -> Column:
-        later = F.slice(found, place + 2, F.greatest(F.size(found), F.lit(1)))
-        return ~F.exists(later, lambda other: other["title"] == block["title"])
-
-    return F.filter(found, is_last)
+    return F.aggregate(lines_of(text), start, step, finish)
 
 
 def explode_blocks(df: DataFrame, text: str, rows: int = BLOCK_ROWS, compat: bool = False) -> DataFrame:
     """One row per block: ``block_no`` from 1, ``title``, ``rows``."""
     kept = [c for c in df.columns if c != text]
-    return df.select(
-        *kept, F.posexplode(table_blocks(F.col(text), rows, compat)).alias("__no", "__block")
-    ).select(
+    found = df.select(*kept, table_blocks(F.col(text), rows, compat).alias("__found"))
+    blocks = F.col("__found")
+    if compat:
+        # Of blocks with one title the last replaces the others.
+        blocks = F.filter(
+            blocks,
+            lambda block, place: ~F.exists(
+                F.slice("__found", place + 2, F.size("__found")),
+                lambda later: later["title"] == block["title"],
+            ),
+        )
+    return found.select(*kept, F.posexplode(blocks).alias("__no", "__block")).select(
         *kept,
         (F.col("__no") + 1).alias("block_no"),
         F.col("__block.title").alias("title"),

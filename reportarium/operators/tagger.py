@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reportarium.functions.text import keyword_matches
+
 # Words that guide towards a business domain.
 KEYWORDS = {
     "Financial Compliance Management": (
@@ -50,20 +52,18 @@ EVIDENCE = (
 NONE = "Unknown"
 
 
-def _words(text: Column) -> Column:
-    """Lower-case words, each with a blank of its own on both sides."""
-    spaced = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+", "  ")
-    return F.concat(F.lit(" "), spaced, F.lit(" "))
-
-
-def _hits(words: Column, keywords: Sequence[str]) -> Column:
-    total = F.lit(0)
-    for keyword in keywords:
-        pattern = " " + "  ".join(keyword.lower().split()) + " "
-        rest = F.replace(words, F.lit(pattern), F.lit(""))
-        gone = F.char_length(words) - F.char_length(rest)
-        total = total + (gone / F.lit(len(pattern))).cast("int")
-    return total
+def _best(matches: Column, keywords: Mapping[str, Sequence[str]], source: str) -> Column:
+    """Domain with most matches, null without any."""
+    ranked = [
+        F.struct(
+            F.size(F.filter(matches, lambda m: m.isin(*(w.lower() for w in words)))).alias("hits"),  # noqa: B023
+            F.lit(-place).alias("place"),
+            F.lit(domain).alias("domain"),
+            F.lit(source).alias("source"),
+        )
+        for place, (domain, words) in enumerate(keywords.items())
+    ]
+    return F.when(F.size(matches) > 0, F.array_max(F.array(*ranked)))
 
 
 def tag_domain(
@@ -74,30 +74,17 @@ def tag_domain(
     """Add ``business_domain``, ``evidence_source``, ``hits``.
 
     The strongest source with any keyword decides, there the domain with most hits,
-    there the first in the order of ``keywords``. Whole texts are counted within their
-    own row: no exploded words, no join, no shuffle.
+    there the first in the order of ``keywords``. Each text is searched once for all
+    keywords, within its own row: no exploded words, no join, no shuffle.
     """
     kept = df.columns
-    for i, source in enumerate(sources):
-        df = df.withColumn(f"__w{i}", _words(F.col(source)))
-    for i in range(len(sources)):
-        ranked = F.array_max(
-            F.array(
-                *(
-                    F.struct(
-                        _hits(F.col(f"__w{i}"), words).alias("hits"),
-                        F.lit(-n).alias("place"),
-                        F.lit(domain).alias("domain"),
-                        F.lit(sources[i]).alias("source"),
-                    )
-                    for n, (domain, words) in enumerate(keywords.items())
-                )
-            )
-        )
-        df = df.withColumn(f"__b{i}", ranked)
-    found = [F.when(F.col(f"__b{i}.hits") > 0, F.col(f"__b{i}")) for i in range(len(sources))]
-    df = df.withColumn("__best", F.coalesce(*found))
-    return df.select(
+    words = [w for listed in keywords.values() for w in listed]
+    matches = {f"__m{i}": keyword_matches(F.col(s), words) for i, s in enumerate(sources)}
+    found = [_best(F.col(f"__m{i}"), keywords, s) for i, s in enumerate(sources)]
+    best = df.select(*kept, *(m.alias(name) for name, m in matches.items())).select(
+        *kept, F.coalesce(*found).alias("__best")
+    )
+    return best.select(
         *kept,
         F.coalesce("__best.domain", F.lit(NONE)).alias("business_domain"),
         F.col("__best.source").alias("evidence_source"),
