@@ -257,7 +257,8 @@ def reference_list_load(t: Tables) -> DataFrame:
 
 
 def provider_sql_extract(t: Tables) -> DataFrame:
-    return extraction.provider_sql(roles.responses(t), roles.universe_connections(t))
+    landed = extraction.land_responses(roles.responses(t), scratch_dir(t.spark, "responses"))
+    return extraction.provider_sql(landed, roles.universe_connections(t))
 
 
 def flat_extract(t: Tables) -> DataFrame:
