@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportarium.operators import contract
+from reportarium.operators.lists import join_pages
 
 # Settings of a request.
 MAX_TOKENS = 1500
@@ -21,7 +22,7 @@ def enriched_documents(profile: DataFrame, fields: DataFrame, samples: DataFrame
     nested = fields.select(
         "document_id", "page_no", F.struct("variables_count", "variables").alias("fields")
     )
-    return profile.join(samples, "document_id").join(nested, "document_id")
+    return join_pages(profile.join(samples, "document_id"), nested, "document_id")
 
 
 def instructions() -> str:

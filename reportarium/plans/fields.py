@@ -32,11 +32,16 @@ def field_dictionary(
     several pages where it has more than ``page_rows`` entries; the counts of its pages
     add up to the document's. Ids are compared as trimmed text.
     """
-    ids = scope.select(F.col("document_id").cast("string").alias("__id")).distinct()
-    wanted = entries.withColumn("document_id", F.trim(F.col("document_id").cast("string"))).join(
-        ids, F.col("document_id") == F.col("__id"), "left_semi"
+    key = F.trim(F.col("document_id").cast("string"))
+    ids = scope.select(F.col("document_id").cast("string").alias("document_id"))
+    paged = paged_sets(
+        entries.withColumn("document_id", key),
+        ["document_id"],
+        DEFINITION,
+        "variables",
+        page_rows,
+        only=ids,
     )
-    paged = paged_sets(wanted, ["document_id"], DEFINITION, "variables", page_rows)
     return paged.select(
         "document_id", "page_no", F.size("variables").alias("variables_count"), "variables"
     )

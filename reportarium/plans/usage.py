@@ -37,7 +37,7 @@ def category_counts(audit: DataFrame) -> DataFrame:
 
 
 def _scope_ids(scope: DataFrame) -> DataFrame:
-    return scope.select("document_id").filter("document_id is not null").distinct()
+    return scope.select("document_id").filter("document_id is not null")
 
 
 def document_users(audit: DataFrame, directory: DataFrame, scope: DataFrame) -> DataFrame:
@@ -91,7 +91,7 @@ def owner_list(
 def shortlist(scope: DataFrame, audit: DataFrame, limit: int | None = None) -> DataFrame:
     """Documents in scope that occur in the audit; ``limit`` takes the first by id."""
     audited = audit.select(F.trim("document_id").alias("__id")).distinct()
-    ids = _scope_ids(scope)
+    ids = _scope_ids(scope).distinct()
     found = ids.join(audited, F.trim(ids.document_id) == F.col("__id"), "left_semi").select(
         F.col("document_id").alias("shortlist_id")
     )
@@ -110,7 +110,7 @@ def shortlist_profile(scope: DataFrame, audit: DataFrame, directory: DataFrame)
         .groupBy("__id")
         .agg(F.sum("users").alias("user_count"), F.count("bu").alias("bu_count"))
     )
-    ids = _scope_ids(scope)
+    ids = _scope_ids(scope).distinct()
     total = ids.agg(F.count("*").alias("total"))
     return ids.join(counted, F.trim(ids.document_id) == F.col("__id")).select(
         F.col("document_id").alias("shortlist_id"),
@@ -122,7 +122,7 @@ def shortlist_profile(scope: DataFrame, audit: DataFrame, directory: DataFrame)
 
 def shortlist_share(scope: DataFrame, audit: DataFrame) -> DataFrame:
     """Shortlisted documents as a share of those in scope; one row."""
-    total = _scope_ids(scope).agg(F.count("*").alias("total"))
+    total = _scope_ids(scope).agg(F.countDistinct("document_id").alias("total"))
     return shortlist(scope, audit).agg(
         F.count("*").alias("shortlisted"),
         total.scalar().alias("total_in_scope"),
