@@ -28,15 +28,15 @@ def build_session(cpus: int | str = "*", app: str = "reportarium", **conf: str)
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor sees: the one the cluster names, else a local one in local mode."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    """Folder every executor sees: the one the session names, else a local one in local mode."""
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

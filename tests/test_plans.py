@@ -1,0 +1,64 @@
+"""What the physical plans must and must not hold."""
+
+import pytest
+
+import __spark_entry__ as contract
+from conftest import SMALL
+
+QUERIES = contract.queries()
+PYTHON = {"provider_sql_extract"}  # deep query plans are walked in Python
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def plans(spark):
+    return {name: plan_of(query(spark, SMALL)) for name, query in QUERIES.items()}
+
+
+def test_no_cross_joins_and_no_python(plans):
+    for name, plan in plans.items():
+        assert "CartesianProduct" not in plan, name
+        assert "BroadcastNestedLoopJoin" not in plan, name
+        assert ("Python" in plan or "InPandas" in plan) == (name in PYTHON), name
+        assert "BatchEvalPython" not in plan, name
+
+
+def test_latest_rows_are_pruned_before_the_shuffle(plans):
+    for name in ("latest_snapshot", "owner_list", "user_profile_clean", "usage_matrix"):
+        plan = plans[name]
+        below = plan[plan.index("Final") :] if "Final" in plan else ""
+        assert "Partial" in plan[plan.index("WindowGroupLimit") :] and "Exchange" in below, name
+
+
+def test_scans_read_few_columns_and_filters_reach_them(plans):
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plans["shortlist"]
+    assert "Not(EqualTo(o_orderstatus,F))" in plans["shortlist"]
+    assert "EqualTo(p_type,PROMO)" in plans["impact_list"]
+    assert "l_quantity" not in plans["freshness_counts"]
+    assert "text" not in plans["registry_pending"]
+
+
+def test_text_steps_do_not_shuffle(plans):
+    for name in (
+        "output_sample_text",
+        "output_sample_columns",
+        "output_blocks",
+        "sql_chunks",
+        "domain_tagger",
+        "request_payload",
+    ):
+        assert "Exchange" not in plans[name], name
+
+
+def test_distinct_counts_do_not_multiply_rows(plans):
+    for name in ("freshness_counts", "usage_matrix", "shortlist_audited"):
+        assert "Expand" not in plans[name], name
+
+
+def test_hot_users_and_documents_are_reduced_before_the_directory_joins(plans):
+    """Distinct (document, user) pairs are shuffled by both, not by the document alone."""
+    plan = plans["usage_matrix"]
+    assert "Exchange hashpartitioning(document_id" in plan and "user_name" in plan
