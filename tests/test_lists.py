@@ -47,6 +47,14 @@ def test_pages_are_grouped_after_a_shuffle_of_their_own(spark):
     assert "Exchange hashpartitioning" in top
 
 
+def test_page_numbers_are_counted_on_pages(spark):
+    base = spark.createDataFrame([("hot", 1)], "k string, n int")
+    paged = paged_sets(skewed(spark), ["k"], ["v"], "vs")
+    plan = join_pages(base, paged, "k")._jdf.queryExecution().optimizedPlan().toString()
+    counting = plan[plan.index("max(") :]
+    assert "Aggregate [" in counting[: counting.index("Join")]
+
+
 def test_join_pages_keeps_keys_without_pages(spark):
     base = spark.createDataFrame([("hot", 1), ("lone", 2)], "k string, n int")
     paged = paged_sets(skewed(spark), ["k"], ["v"], "vs", page_rows=100)
