@@ -21,6 +21,16 @@ def first_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[C
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
 
 
+def evenly(df: DataFrame) -> DataFrame:
+    """The small side of a join that may meet hot keys.
+
+    A side already partitioned by the join key (by a window or an aggregate) would join
+    without a shuffle of its own, and Spark splits the hot partitions of a sort-merge
+    join only between two fresh shuffles. Rebalanced first, the side gets one.
+    """
+    return df.hint("rebalance")
+
+
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], stamp: str, ties: Sequence[str] | None = None
 ) -> DataFrame:
@@ -44,7 +54,7 @@ def look_up(
     No broadcast hint: Spark broadcasts the dimension where its measured size allows,
     and otherwise splits the hot keys of a sort-merge join.
     """
-    unique = unique_dimension(dimension, key, columns)
+    unique = evenly(unique_dimension(dimension, key, columns))
     return df.withColumn("__on", on).join(unique, F.col("__on") == F.col("__key"), "left").drop(
         "__on", "__key"
     )

@@ -18,7 +18,7 @@ def pending(work: DataFrame, status: str = "extracted_status") -> DataFrame:
 
 def unprocessed(df: DataFrame, registry: DataFrame, key: str = "document_id") -> DataFrame:
     """Rows whose key is not in the registry of processed ones."""
-    return df.join(registry.select(key).distinct(), key, "left_anti")
+    return df.join(registry.select(key), key, "left_anti")
 
 
 def update_work_list(work: DataFrame, processed: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reportarium.functions import conditions as c
 from reportarium.functions.times import from_parts, parsed, run_stamp
-from reportarium.operators.keys import first_per_key, latest_per_key
+from reportarium.operators.keys import evenly, first_per_key, latest_per_key
 from reportarium.operators.lists import PAGE_ROWS, paged_sets
 
 # The catalogue's report type and the release date of the impact list.
@@ -39,7 +39,7 @@ def user_profile(
         [F.col("senior_level").asc_nulls_last()],
     )
     joined = current.join(previous, "user_name", "left" if keep_unmatched else "inner").join(
-        levels, F.col("title") == F.col("r_title"), "left"
+        evenly(levels), F.col("title") == F.col("r_title"), "left"
     )
     return joined.select(
         "user_name",
@@ -137,7 +137,7 @@ def impacted_universes(
     A universe with more matches than ``page_rows`` takes several rows, by ``page_no``.
     """
     name = lambda col: F.lower(F.trim(col))
-    listed = impact.select(name(F.col("table_name")).alias("table_name")).distinct()
+    listed = impact.select(name(F.col("table_name")).alias("table_name"))
     used = universes.select("universe", F.explode(F.split("tables", ",")).alias("t")).select(
         "universe", name(F.col("t")).alias("table_name")
     )
