@@ -26,7 +26,7 @@ def chunk_text(
     kept = [c for c in df.columns if c not in (text, index)]
     return (
         df.withColumn("__pieces", pieces)
-        .select(*kept, F.col(index), "__pieces", F.posexplode("__pieces").alias("__no", text))
+        .select(*kept, F.col(index), "__pieces", F.posexplode_outer("__pieces").alias("__no", text))
         .select(
             *kept,
             F.when(cut, numbered).otherwise(F.col(index).cast("string")).alias(index),

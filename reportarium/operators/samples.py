@@ -104,7 +104,8 @@ def table_blocks(text: Column, rows: int = BLOCK_ROWS, compat: bool = False) ->
     start = _state(no, no, untitled, empty, F.array().cast(_FOUND))
 
     def step(state: Column, line: Column) -> Column:
-        is_row = F.size(F.split(line, "\t")) >= TABLE_FIELDS
+        # Cut before the tab that opens the fourth field, a table row has lost something.
+        is_row = F.substring_index(line, "\t", TABLE_FIELDS - 1) != line
         is_open = F.size(state["rows"]) > 0
         room = F.size(state["rows"]) < rows
         blank = line == ""
@@ -158,7 +159,9 @@ def explode_blocks(df: DataFrame, text: str, rows: int = BLOCK_ROWS, compat: boo
                 lambda later: later["title"] == block["title"],
             ),
         )
-    return found.select(*kept, F.posexplode(blocks).alias("__no", "__block")).select(
+    # The outer form, as for the plain one Spark adds a filter that finds the blocks twice.
+    exploded = found.select(*kept, F.posexplode_outer(blocks).alias("__no", "__block"))
+    return exploded.filter("__no is not null").select(
         *kept,
         (F.col("__no") + 1).alias("block_no"),
         F.col("__block.title").alias("title"),

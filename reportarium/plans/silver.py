@@ -138,7 +138,7 @@ def impacted_universes(
     """
     name = lambda col: F.lower(F.trim(col))
     listed = impact.select(name(F.col("table_name")).alias("table_name"))
-    used = universes.select("universe", F.explode(F.split("tables", ",")).alias("t")).select(
+    used = universes.select("universe", F.explode_outer(F.split("tables", ",")).alias("t")).select(
         "universe", name(F.col("t")).alias("table_name")
     )
     matches = paged_sets(
