@@ -150,12 +150,12 @@ def test_column_sample_cases(spark):
 
 
 def test_output_files_are_read_whole(spark, folder):
-    with open(f"{folder}/WEBI_17.csv", "w", newline="") as f:
+    with open(f"{folder}/Output_17.csv", "w", newline="") as f:
         f.write("Sales;x\r\na\tb\r\n1\t2\r\n")
-    with open(f"{folder}/WEBI_18.csv", "w") as f:
+    with open(f"{folder}/Output_18.csv", "w") as f:
         f.write("h\n")
     found = read_outputs(spark, folder)
     rows = {r.document_id: r.text for r in found.collect()}
     assert rows == {"17": "Sales;x\na\tb\n1\t2\n", "18": "h\n"}
-    paths = spark.createDataFrame([("D1", "/exports/WEBI_17.csv")], "document_id string, export_path string")
+    paths = spark.createDataFrame([("D1", "/exports/Output_17.csv")], "document_id string, export_path string")
     assert [(r.document_id, r.text[:5]) for r in locate(found, paths).collect()] == [("D1", "Sales")]

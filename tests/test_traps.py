@@ -55,7 +55,7 @@ def test_done_status_ignores_every_white_space(spark):
 
 
 def test_text_columns(spark):
-    df = spark.createDataFrame([(" \t a b \n", "x/WEBI_12_34.json", "file:/e/a.csv")], "t string, p string, u string")
+    df = spark.createDataFrame([(" \t a b \n", "x/Output_12_34.json", "file:/e/a.csv")], "t string, p string, u string")
     row = values(
         df,
         strip(F.col("t")),
@@ -68,7 +68,7 @@ def test_text_columns(spark):
         without_scheme(F.col("u")),
         report_label(F.lit(None), F.lit(3)),
     )[0]
-    assert row[0] == "a b" and row[2:] == ("12", None, "WEBI_12_34.json", "x", None, "/e/a.csv", "Report 3")
+    assert row[0] == "a b" and row[2:] == ("12", None, "Output_12_34.json", "x", None, "/e/a.csv", "Report 3")
 
 
 def test_times(spark):
@@ -80,6 +80,12 @@ def test_times(spark):
     )
     net = net_seconds(parsed(F.col("a")), parsed(F.col("b")), F.col("p"))
     assert [v[0] for v in values(times, net)] == [10.25, None]
+    summer = spark.createDataFrame([("2024-03-31 01:00:00", "2024-03-31 04:00:00", 0)], times.schema)
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Amsterdam")
+    try:
+        assert values(summer, net)[0][0] == 10800.0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 @pytest.mark.parametrize(
@@ -295,6 +301,20 @@ def test_work_list(spark):
     assert rows["2"].document_name is None and rows["2"].found_on_server is True
 
 
+def test_registry_of_processed_reports(spark, folder):
+    from reportarium.operators.worklist import unprocessed
+    from reportarium.sources.sinks import append_json_lines
+
+    reports = spark.createDataFrame([("1",), ("2",), ("3",)], "document_id string")
+    append_json_lines(reports.filter("document_id = '2'"), f"{folder}/registry")
+    registry = spark.read.schema("document_id string").json(f"{folder}/registry")
+    todo = unprocessed(reports, registry)
+    assert sorted(r.document_id for r in todo.collect()) == ["1", "3"]
+    append_json_lines(reports.filter("document_id <> '2'"), f"{folder}/registry")
+    registry = spark.read.schema("document_id string").json(f"{folder}/registry")
+    assert unprocessed(reports, registry).count() == 0
+
+
 # --- raw responses ---------------------------------------------------------------------
 
 
