@@ -27,7 +27,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+def steps(
+    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = STEP_BYTES
+) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded text size; null texts become empty."""
     for batch in batches:
         at = batch.schema.get_field_index(column)
@@ -37,7 +39,7 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[p
         start = 0
         while start < len(ends):
             before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + STEP_BYTES, side="right")))
+            stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
 

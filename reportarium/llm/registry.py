@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportarium.llm import byte_bpe, packing, secret_scan, token_files
+from reportarium.llm import (
+    byte_bpe,
+    exact_topk,
+    packing,
+    posting_lists,
+    secret_scan,
+    super_minhash,
+    token_files,
+)
 from reportarium.llm.common import table
 from reportarium.session import scratch_dir
 
@@ -21,6 +29,16 @@ def op2_length_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), WORDS, keep_ids=False)
 
 
+def op3_posting_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth vector."""
+    return posting_lists.nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+def op4_super_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with its group of near duplicates, on shingles of four words."""
+    return super_minhash.near_duplicates(table(spark, folder, "documents"), size=4)
+
+
 def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and places of the secrets of each document."""
     found = secret_scan.find_secrets(table(spark, folder, "documents"))
@@ -47,6 +65,11 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 highest integer inner products of every fiftieth vector."""
+    return exact_topk.top_k(table(spark, folder, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Place, size and checksum of each document, read back from the files written."""
     files = scratch_dir(spark, "tokens")
@@ -61,8 +84,11 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_length_packing": op2_length_packing,
+        "op3_posting_lists": op3_posting_lists,
+        "op4_super_minhash": op4_super_minhash,
         "op6_secret_scan": op6_secret_scan,
         "op8_byte_bpe": op8_byte_bpe,
+        "op9_exact_topk": op9_exact_topk,
         "op10_token_files": op10_token_files,
     }
 
