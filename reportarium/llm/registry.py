@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 
 from reportarium.llm import (
     byte_bpe,
+    checks,
     exact_topk,
+    license_rules,
     packing,
     posting_lists,
     secret_scan,
     super_minhash,
     token_files,
+    tool_calls,
+    toxicity,
 )
 from reportarium.llm.common import table
 from reportarium.session import scratch_dir
@@ -24,6 +28,78 @@ WORDS = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def transcript_calls(conversations: DataFrame) -> DataFrame:
+    """Turns in the role of tool calls: each assistant turn calls a tool with its text.
+
+    A call needs the one two turns before, every third turn also the one four turns before.
+    Some arguments break their schema or are no JSON, as in real transcripts.
+    """
+    text, size = F.col("text"), F.length("text")
+    query = text.alias("query")
+    search = F.when(
+        size % 5 == 0, F.to_json(F.struct(query, F.lit("all").alias("limit")))
+    ).otherwise(F.to_json(F.struct(query, (size % 10).alias("limit"))))
+    first, even = F.element_at(F.split(text, " "), 1), size % 2 == 0
+    lookup = F.to_json(F.struct(first.alias("key"), even.alias("exact")))
+    count = F.to_json(F.struct(F.array(size, F.size(F.split(text, " "))).alias("terms")))
+    pick = F.pmod(F.col("turn") + size, F.lit(4))
+    earlier = F.array(
+        F.concat(F.lit("call_"), F.col("turn") - 2),
+        F.when(F.col("turn") % 3 == 0, F.concat(F.lit("call_"), F.col("turn") - 4)),
+    )
+    return conversations.filter(F.col("role") == "assistant").select(
+        F.col("conv_id").alias("conversation"),
+        F.concat(F.lit("call_"), F.col("turn")).alias("call_id"),
+        F.col("turn").alias("position"),
+        F.element_at(F.array(*map(F.lit, ("search", "lookup", "count", "render"))), pick.cast("int") + 1)
+        .alias("tool"),
+        F.when(size % 7 == 0, F.concat(F.lit("{"), text))
+        .when(pick == 0, search)
+        .when(pick == 1, lookup)
+        .otherwise(count)
+        .alias("arguments"),
+        F.array_compact(earlier).alias("depends_on"),
+    )
+
+
+def transcript_results(conversations: DataFrame) -> DataFrame:
+    """Turns in the role of results: each user turn answers the turn before it."""
+    return conversations.filter((F.col("role") == "user") & (F.col("turn") > 0)).select(
+        F.col("conv_id").alias("conversation"),
+        F.concat(F.lit("call_"), F.col("turn") - 1).alias("call_id"),
+        F.col("turn").alias("position"),
+        F.col("text").alias("content"),
+    )
+
+
+#: The tools of the transcripts: name, kind and whether it is required, by parameter.
+TOOLS = {
+    "search": [("query", "string", True), ("limit", "integer", False)],
+    "lookup": [("key", "string", True), ("exact", "boolean", False), ("scope", "string", True)],
+    "count": [("terms", "array", True)],
+}
+
+
+def op1_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    """Each tool call with its result, its place in its conversation, and its JSON."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    schemas = spark.createDataFrame(
+        list(TOOLS.items()), "tool string, schema array<struct<name:string,kind:string,required:boolean>>"
+    )
+    linked = tool_calls.link_calls(transcript_calls(turns), transcript_results(turns), schemas)
+    return linked.select(
+        F.col("conversation").alias("conv_id"),
+        "call_id",
+        "place",
+        "level",
+        "tool",
+        F.array_join("errors", "; ").alias("errors"),
+        "n_calls",
+        "n_results",
+        tool_calls.canonical().alias("message"),
+    )
+
+
 def op2_length_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Where each piece of each document lies in the packed sequences."""
     return packing.pack(table(spark, folder, "documents"), WORDS, keep_ids=False)
@@ -39,6 +115,19 @@ def op4_super_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return super_minhash.near_duplicates(table(spark, folder, "documents"), size=4)
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """A toxicity score for each document; a fifth of the ids is held out of training."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").filter(~toxicity.held_out())
+    scored = toxicity.score(documents, toxicity.fit(documents, labels))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and places of the secrets of each document."""
     found = secret_scan.find_secrets(table(spark, folder, "documents"))
@@ -55,6 +144,20 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_license_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The licences of each document, in the order of their sentences."""
+    found = license_rules.find_licences(table(spark, folder, "documents"))
+    known = F.length(F.replace("identifiers", F.lit("."), F.lit("")))
+    return found.select(
+        "doc_id",
+        F.length("identifiers").cast("long").alias("n_sentences"),
+        known.cast("long").alias("n_known"),
+        F.size("matches").cast("long").alias("n_licences"),
+        F.array_join("licences", ",").alias("licences"),
+        F.array_join("matches", ",").alias("matches"),
+    )
+
+
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of each document's ids and of the bytes they decode to."""
     return byte_bpe.tokenize(
@@ -83,10 +186,13 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_tool_calls": op1_tool_calls,
         "op2_length_packing": op2_length_packing,
         "op3_posting_lists": op3_posting_lists,
         "op4_super_minhash": op4_super_minhash,
+        "op5_toxicity": op5_toxicity,
         "op6_secret_scan": op6_secret_scan,
+        "op7_license_rules": op7_license_rules,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_exact_topk": op9_exact_topk,
         "op10_token_files": op10_token_files,
@@ -94,4 +200,4 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def sql() -> dict[str, str]:
-    return {}
+    return checks.sql()

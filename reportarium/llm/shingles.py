@@ -48,16 +48,22 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]], ends - ends[0]
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of every word; words end at text bounds too."""
-    space = _SPACE[data]
+def word_bounds(
+    data: np.ndarray, bounds: np.ndarray, between: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and end: at bytes marked in ``between``, and at text bounds."""
+    space = between[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[bounds] = True
     first = ~space
     first[1:] &= space[:-1] | edge[1:-1]
     last = ~space
     last[:-1] &= space[1:] | edge[1:-1]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of each of the words, which are in order and don't overlap."""
     hashes = np.empty(len(starts), dtype=np.uint64)
     a = 0
     while a < len(starts):
@@ -72,7 +78,7 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
         s, e = starts[a:b] - starts[a], ends[a:b] - starts[a]
         hashes[a:b] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
         a = b
-    return starts, hashes
+    return hashes
 
 
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
@@ -81,7 +87,8 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     A text of fewer words has its whole sequence as its one shingle; without words, none.
     """
     data, bounds = buffers(texts)
-    starts, words = word_hashes(data, bounds)
+    starts, ends = word_bounds(data, bounds)
+    words = word_hashes(data, starts, ends)
     first = np.searchsorted(starts, bounds[:-1])
     last = np.searchsorted(starts, bounds[1:])
     padded = np.concatenate([words, np.zeros(size, dtype=np.uint64)])

@@ -321,3 +321,21 @@ def near_duplicates(documents: DataFrame, size: int, percent: int = PERCENT) ->
     return found.select("doc_id", "n_shingles", own.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
+
+
+def deduplicated(documents: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
+    """The documents whose row of ``near_duplicates`` is kept, with all their columns.
+
+    Of several rows of one kept id, the one with the smallest text hash stays; rows without
+    an id all stay.
+    """
+    found = near_duplicates(documents, size, percent).filter(F.col("kept") & F.col("doc_id").isNotNull())
+    kept = staged(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows")), "kept")
+    rows = documents.join(kept.select("doc_id"), "doc_id", "left_semi")
+    if not kept.filter("__rows > 1").isEmpty():
+        text = F.struct(F.xxhash64("text"), F.col("text"))
+        first = F.min_by(F.struct(*documents.columns), text).alias("__row")
+        rows = rows.groupBy(F.col("doc_id").alias("__id")).agg(first).select("__row.*")
+    return rows.select(*documents.columns).unionByName(
+        documents.filter(F.col("doc_id").isNull())
+    )

@@ -21,7 +21,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+|\n")
 OTHER = re.compile(r"[^!-~À-ÖØ-öø-ÿ\n]").search
 #: Parts of words that one worker keeps at most.
-KEPT_PARTS = 500_000
+KEPT_PARTS = 300_000
 
 
 def _byte_letters() -> dict[int, str]:
