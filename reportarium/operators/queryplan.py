@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ PAIRS = "array<struct<index: string, sql_query: string>>"
 
 # Texts written where a provider has no statement.
 NO_PLAN = "Error retrieving Query Plan"
+UNREADABLE = "Query Plan cannot be read"
 NO_SQL = "Data Provider using Universe does not find SQL in Query Plan"
 
 # Schemas of plans that hold their statements directly: ``statement`` is an object or
@@ -22,46 +24,84 @@ _FLAT_LIST = rf"^OBJECT<statement: ARRAY<{_PAIR}>>$"
 _PAIR_TYPE = "struct<`@index`: string, `$`: string>"
 
 
+#: Brackets in a response up to which the JVM reads it: so its nesting is bounded too.
+BRACKETS = 400
+
+
 def _walker():
-    """Pandas UDF over plan texts. All it needs is nested here, so tasks receive it whole."""
+    """Pandas UDF over response bodies. All it needs is nested here, so tasks receive it whole."""
+    token = re.compile(r'\s*(?:([{}\[\]:,])|("(?:[^"\\]|\\.)*")|([^\s{}\[\]:,"]+))', re.S)
 
-    def statements(node, listed):
-        """Pairs below ``node``, then its own.
+    def decoded(text):
+        """JSON of any depth; the library's own reader gives up on deep texts."""
+        try:
+            return json.loads(text)
+        except RecursionError:
+            pass
+        top, at, name = [], 0, None
+        stack = [top]
+        text = text.strip()
+        while at < len(text):
+            found = token.match(text, at)
+            if found is None:
+                raise ValueError("no JSON")
+            at = found.end()
+            sign, string, scalar = found.groups()
+            here = stack[-1]
+            if sign in ("}", "]"):
+                stack.pop()
+                continue
+            if sign in (":", ","):
+                continue
+            if string is not None and isinstance(here, dict) and name is None:
+                name = json.loads(string)
+                continue
+            value = {} if sign == "{" else [] if sign == "[" else json.loads(string or scalar)
+            if isinstance(here, dict):
+                here[name], name = value, None
+            else:
+                here.append(value)
+            if sign:
+                stack.append(value)
+        if len(stack) != 1 or len(top) != 1:
+            raise ValueError("no JSON")
+        return top[0]
+
+    def statements(plan):
+        """Pairs below each node, then its own.
 
         Members of an object are all visited. Inside a list an object stands for its
         ``statement`` where it has one, and otherwise only for its own pair.
         """
-        if isinstance(node, list):
-            for item in node:
-                if isinstance(item, dict):
-                    yield from statements(item.get("statement") or item, True)
-            return
-        if not isinstance(node, dict):
-            return
-        if not listed:
-            for member in node.values():
-                yield from statements(member, isinstance(member, list))
-        index, sql = node.get("@index", ""), node.get("$", "")
-        scalar = not isinstance(index, (dict, list)) and not isinstance(sql, (dict, list))
-        if scalar and index != "" and sql != "":
-            yield index, sql
+        todo = [(plan, False)]  # a node, and whether only its own pair is left to give
+        while todo:
+            node, alone = todo.pop()
+            if isinstance(node, list):
+                inside = [item.get("statement") or item for item in node if isinstance(item, dict)]
+                todo += [(item, True) for item in reversed(inside)]
+            elif isinstance(node, dict) and not alone:
+                todo.append((node, True))
+                todo += [(member, False) for member in reversed(node.values())]
+            elif isinstance(node, dict):
+                index, sql = node.get("@index", ""), node.get("$", "")
+                scalar = not isinstance(index, (dict, list)) and not isinstance(sql, (dict, list))
+                if scalar and index != "" and sql != "":
+                    yield index, sql
 
     def pairs(text):
-        if text is None:
-            return None
         try:
-            plan = json.loads(text)
-        except ValueError:
-            return []
-        found = statements(plan, False) if isinstance(plan, dict) else ()
+            plan = decoded(text)["queryplan"]
+        except (ValueError, KeyError, TypeError):
+            return [{"index": "0", "sql_query": UNREADABLE}]
+        found = statements(plan) if isinstance(plan, dict) else ()
         return [
             {"index": None if i is None else str(i), "sql_query": None if q is None else str(q)}
             for i, q in found
         ]
 
     @F.pandas_udf(PAIRS)
-    def walk(plans: pd.Series) -> pd.Series:
-        return plans.map(pairs)
+    def walk(bodies: pd.Series) -> pd.Series:
+        return bodies.map(pairs)
 
     return walk
 
@@ -70,12 +110,16 @@ def with_statements(df: DataFrame, body: str, name: str = "statements") -> DataF
     """Add the (index, sql_query) pairs of the plan in response ``body``; null for an empty plan.
 
     Plans with their statements directly below the root, the usual case, are read by
-    built-in variant functions. Only deeper ones travel to Python.
+    built-in variant functions. Others, and bodies with so many brackets that they may be
+    deep, go to Python in a branch of their own, which walks any depth. A body that is no
+    JSON gives one marker.
     """
-    plan = F.get_json_object(body, "$.queryplan")
+    kept = df.columns
+    text = F.col(body)
+    brackets = F.char_length(text) - F.char_length(F.translate(text, "{[", ""))
+    shallow = F.when(brackets <= BRACKETS, text)
+    plan = F.get_json_object(shallow, "$.queryplan")
     filled = plan.isNotNull() & ~plan.isin("{}", "[]", "")
-    variant = F.try_parse_json("__plan")
-    shape = F.schema_of_variant("__variant")
     one = F.array(F.try_variant_get("__variant", "$.statement", _PAIR_TYPE))
     many = F.try_variant_get("__variant", "$.statement", f"array<{_PAIR_TYPE}>")
     named = lambda p: F.struct(
@@ -83,17 +127,23 @@ def with_statements(df: DataFrame, body: str, name: str = "statements") -> DataF
     )
     complete = lambda p: (p["index"] != "") & (p["sql_query"] != "")
     is_one, is_many = F.col("__shape").rlike(_FLAT_ONE), F.col("__shape").rlike(_FLAT_LIST)
-    flat = F.when(is_one, one).when(is_many, many)
-    deep = F.when(F.col("__plan").isNotNull() & ~F.coalesce(is_one | is_many, F.lit(False)), F.col("__plan"))
-    kept = df.columns
-    return (
-        df.withColumn("__plan", F.when(filled, plan))
-        .withColumn("__variant", variant)
-        .withColumn("__shape", shape)
-        .withColumn("__flat", F.filter(F.transform(flat, named), complete))
-        .withColumn("__deep", _walker()(deep))
-        .select(*kept, F.coalesce("__flat", "__deep").cast(PAIRS).alias(name))
+    flat = F.filter(F.transform(F.when(is_one, one).when(is_many, many), named), complete)
+    marked = (
+        df.withColumn("__filled", F.coalesce(filled, F.lit(False)))
+        .withColumn("__deep", F.coalesce(brackets > BRACKETS, F.lit(False)))
+        .withColumn("__variant", F.when(F.col("__filled"), F.try_parse_json(plan)))
+        .withColumn("__shape", F.schema_of_variant("__variant"))
+        .withColumn(
+            "__walk", F.col("__deep") | F.col("__filled") & ~F.coalesce(is_one | is_many, F.lit(False))
+        )
+    )
+    unread = text.isNotNull() & ~F.col("__filled") & F.try_parse_json(shallow).isNull()
+    marker = F.array(F.struct(F.lit("0").alias("index"), F.lit(UNREADABLE).alias("sql_query")))
+    read = marked.filter("not __walk").select(
+        *kept, F.when(unread, marker).otherwise(flat).cast(PAIRS).alias(name)
     )
+    walked = marked.filter("__walk").select(*kept)
+    return read.unionByName(walked.withColumn(name, _walker()(F.col(body))))
 
 
 def property_value(properties: Column, key: str) -> Column:

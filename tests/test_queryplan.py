@@ -3,7 +3,7 @@
 import json
 import random
 
-from reportarium.operators.queryplan import with_statements
+from reportarium.operators.queryplan import UNREADABLE, with_statements
 
 
 def rule(plan):
@@ -91,7 +91,7 @@ def test_known_shapes(spark):
 
 def test_unreadable_and_missing(spark):
     assert statements(spark, ["no json", "{}", '{"queryplan": []}', '{"queryplan": ["x"]}']) == [
-        None,
+        [("0", UNREADABLE)],
         None,
         None,
         [],
@@ -106,8 +106,27 @@ def test_random_plans(spark):
         assert found == (rule(plan) if plan else None), json.dumps(plan)
 
 
-def test_deep_plan(spark):
-    plan = {"@index": "9", "$": "deep"}
-    for level in range(40):
-        plan = {f"level{level}": plan}
-    assert statements(spark, [json.dumps({"queryplan": plan})]) == [[("9", "deep")]]
+def deep(levels):
+    """A plan as text, as a nested value of that depth could not be written out either."""
+    return '{"a": ' * levels + '{"x": [{"statement": {"@index": 9, "$": "deep"}}]}' + "}" * levels
+
+
+def test_deep_plans_in_one_session(spark):
+    bodies = [f'{{"queryplan": {deep(n)}}}' for n in (40, 390, 990, 5000, 60_000)]
+    assert statements(spark, bodies) == [[("9", "deep")]] * len(bodies)
+    broken = bodies[3][:-3]
+    assert statements(spark, [broken]) == [[("0", UNREADABLE)]]
+
+
+def test_wide_plans_are_no_deep_ones(spark):
+    pairs = [{"@index": str(i), "$": f"S{i} {{["} for i in range(2000)]
+    assert statements(spark, [json.dumps({"queryplan": {"statement": pairs}})]) == [
+        [(p["@index"], p["$"]) for p in pairs]
+    ]
+
+
+def test_python_stands_above_a_filter(spark):
+    df = spark.createDataFrame([(1, "{}")], "id int, body string")
+    plan = with_statements(df, "body")._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("ArrowEvalPython") :]
+    assert "Filter" in below.splitlines()[1] + below.splitlines()[2]
