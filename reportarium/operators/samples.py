@@ -20,16 +20,30 @@ def sample_text(text: Column, lines: int = SAMPLE_LINES) -> Column:
     return F.replace(head_lines(text, lines), F.lit("\t"), F.lit(";"))
 
 
+def cells(line: Column) -> Column:
+    """Cells of a line: parted by tabs, without the quotes around quoted ones."""
+    found = F.regexp_extract_all(
+        F.concat(F.lit("\t"), line), F.lit('\t("(?:[^"]|"")*"[^\t]*|[^\t]*)'), F.lit(1)
+    )
+    quoted = r'^"((?:[^"]|"")*)"([^\t]*)$'
+
+    def plain(cell: Column) -> Column:
+        inner = F.replace(F.regexp_extract(cell, quoted, 1), F.lit('""'), F.lit('"'))
+        return F.when(cell.rlike(quoted), F.concat(inner, F.regexp_extract(cell, quoted, 2))).otherwise(cell)
+
+    return F.transform(found, plain)
+
+
 def with_column_sample(df: DataFrame, text: str, samples: int = SAMPLE_LINES) -> DataFrame:
     """Add ``columns``: header and first values of a tab-separated text; or ``sample_text``.
 
-    Blank lines are not rows. Missing cells are null, surplus cells are dropped, of two
+    Cells may be quoted, and then hold tabs and doubled quotes. Blank lines are not rows. Missing cells are null, surplus cells are dropped, of two
     equal headers the later column counts. A text with one column has no ``columns`` but
     the plain sample; one without data rows has an empty ``columns``.
     """
     below = F.filter("__lines", lambda line, place: (place > 0) & (line != ""))
-    rows = F.transform(F.slice(below, 1, samples), lambda line: F.split(line, "\t"))
-    header = F.split(F.get("__lines", F.lit(0)), "\t")
+    rows = F.transform(F.slice(below, 1, samples), cells)
+    header = cells(F.get("__lines", F.lit(0)))
     places = F.array_sort(
         F.transform(header, lambda name, place: F.struct(name.alias("name"), place.alias("place")))
     )
@@ -48,7 +62,7 @@ def with_column_sample(df: DataFrame, text: str, samples: int = SAMPLE_LINES) ->
             F.transform("__rows", lambda row: F.get(row, p["place"])).alias("values"),
         ),
     )
-    single = F.size("__places") == 1
+    single = F.size(ordered) == 1
     none = F.array().cast("array<struct<name: string, values: array<string>>>")
     kept = df.columns
     lined = df.select(*kept, lines_of(F.col(text)).alias("__lines"))

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportarium.operators import contract
-from reportarium.operators.lists import join_pages
 
 # Settings of a request.
 MAX_TOKENS = 1500
@@ -14,15 +13,11 @@ TEMPERATURE = 0
 
 
 def enriched_documents(profile: DataFrame, fields: DataFrame, samples: DataFrame) -> DataFrame:
-    """Profiles of the documents that have both a field dictionary and an output sample.
-
-    A document with a paged dictionary gives one row per page, each complete but for
-    the other pages' fields.
-    """
+    """Profiles of the documents that have both a field dictionary and an output sample."""
     nested = fields.select(
-        "document_id", "page_no", F.struct("variables_count", "variables").alias("fields")
+        "document_id", F.struct("variables_count", "variables").alias("fields")
     )
-    return join_pages(profile.join(samples, "document_id"), nested, "document_id")
+    return profile.join(samples, "document_id").join(nested, "document_id")
 
 
 def instructions() -> str:
@@ -60,6 +55,6 @@ def request_json(
 
 
 def document_requests(enriched: DataFrame) -> DataFrame:
-    """One request per enriched row: ``document_id, page_no, request``."""
-    content = F.to_json(F.struct(*(c for c in enriched.columns if c != "page_no")))
-    return enriched.select("document_id", "page_no", request_json(content).alias("request"))
+    """One request per document: ``document_id, request``."""
+    content = F.to_json(F.struct(*enriched.columns))
+    return enriched.select("document_id", request_json(content).alias("request"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportarium.operators.lists import PAGE_ROWS, paged_sets
+from reportarium.operators.lists import distinct_records, record_lists
 
 # The parts of a field definition.
 DEFINITION = (
@@ -23,28 +23,24 @@ DEFINITION = (
 )
 
 
-def field_dictionary(
-    entries: DataFrame, scope: DataFrame, page_rows: int = PAGE_ROWS
-) -> DataFrame:
-    """Distinct field definitions of the documents in scope.
+def field_entries(entries: DataFrame, scope: DataFrame) -> DataFrame:
+    """Distinct field definitions of the documents in scope, a row each.
 
-    ``document_id, page_no, variables_count, variables``: one row per document, or
-    several pages where it has more than ``page_rows`` entries; the counts of its pages
-    add up to the document's. Ids are compared as trimmed text.
+    Ids are compared as trimmed text.
     """
-    key = F.trim(F.col("document_id").cast("string"))
     ids = scope.select(F.col("document_id").cast("string").alias("document_id"))
-    paged = paged_sets(
-        entries.withColumn("document_id", key),
-        ["document_id"],
-        DEFINITION,
-        "variables",
-        page_rows,
-        only=ids,
-    )
-    return paged.select(
-        "document_id", "page_no", F.size("variables").alias("variables_count"), "variables"
-    )
+    return distinct_records(_trimmed(entries), ["document_id"], DEFINITION, only=ids)
+
+
+def field_dictionary(entries: DataFrame, scope: DataFrame) -> DataFrame:
+    """``document_id, variables_count, variables``: one row per document in scope."""
+    ids = scope.select(F.col("document_id").cast("string").alias("document_id"))
+    found = record_lists(_trimmed(entries), ["document_id"], DEFINITION, "variables", only=ids)
+    return found.select("document_id", "variables_count", "variables")
+
+
+def _trimmed(entries: DataFrame) -> DataFrame:
+    return entries.withColumn("document_id", F.trim(F.col("document_id").cast("string")))
 
 
 def definition_json(variables: str = "variables") -> Column:

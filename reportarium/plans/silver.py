@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from reportarium.functions import conditions as c
 from reportarium.functions.times import from_parts, parsed, run_stamp
 from reportarium.operators.keys import evenly, first_per_key, latest_per_key
-from reportarium.operators.lists import PAGE_ROWS, paged_sets
 
 # The catalogue's report type and the release date of the impact list.
 REPORT_TYPE = "Webi"
@@ -129,31 +128,21 @@ def impact_list(impact: DataFrame, release_date: str = RELEASE_DATE) -> DataFram
     )
 
 
-def impacted_universes(
-    universes: DataFrame, impact: DataFrame, page_rows: int = PAGE_ROWS
-) -> DataFrame:
-    """Universes with the impacted tables they use, tagged ``Risk_Universe`` or ``Safe``.
-
-    A universe with more matches than ``page_rows`` takes several rows, by ``page_no``.
-    """
+def impacted_universes(universes: DataFrame, impact: DataFrame) -> DataFrame:
+    """Universes with the impacted tables they use, tagged ``Risk_Universe`` or ``Safe``."""
     name = lambda col: F.lower(F.trim(col))
     listed = impact.select(name(F.col("table_name")).alias("table_name"))
     used = universes.select("universe", F.explode_outer(F.split("tables", ",")).alias("t")).select(
         "universe", name(F.col("t")).alias("table_name")
     )
-    matches = paged_sets(
-        used.join(listed, "table_name", "left_semi"),
-        ["universe"],
-        ["table_name"],
-        "matched_tables",
-        page_rows,
-    )
-    all_universes = universes.select("universe").distinct()
-    return all_universes.join(matches, "universe", "left").select(
-        "universe",
-        F.coalesce("page_no", F.lit(0)).alias("page_no"),
-        F.coalesce("matched_tables", F.array().cast("array<string>")).alias("matched_tables"),
-        F.when(F.col("matched_tables").isNotNull(), RISK).otherwise(SAFE).alias("risk_tag"),
+    # A universe without a match stays as a row without a table.
+    hits = used.join(evenly(listed.distinct().withColumn("hit", F.lit(True))), "table_name", "left")
+    hit = hits.select("universe", F.when(F.col("hit"), F.col("table_name")).alias("table_name"))
+    return (
+        hit.distinct()
+        .groupBy("universe")
+        .agg(F.sort_array(F.collect_list("table_name")).alias("matched_tables"))
+        .withColumn("risk_tag", F.when(F.size("matched_tables") > 0, RISK).otherwise(SAFE))
     )
 
 

@@ -21,7 +21,7 @@ from reportarium.operators.worklist import (
 from reportarium.plans import bronze, costs, enrich, exports, extraction, fields, silver, usage
 from reportarium.schemas import DOMAIN_ANSWER
 from reportarium.session import scratch_dir
-from reportarium.sources.documents import read_documents
+from reportarium.sources.documents import read_texts
 from reportarium.sources.exports import read_outputs
 from reportarium.sources.sinks import (
     append_json_lines,
@@ -162,8 +162,8 @@ def impact_list(t: Tables) -> DataFrame:
 
 
 def impacted_universes(t: Tables) -> DataFrame:
-    found = silver.impacted_universes(roles.universe_tables(t), roles.impact(t))
-    return found.select("universe", "page_no", listed("matched_tables"), "risk_tag")
+    found = silver.impacted_universes(roles.universe_tables(t), roles.impact(t, promoted=True))
+    return found.select("universe", listed("matched_tables"), "risk_tag")
 
 
 def file_metadata(t: Tables) -> DataFrame:
@@ -226,9 +226,9 @@ _BRONZE = (
 
 def bronze_flatten(t: Tables) -> DataFrame:
     landing, target = _landing(t), scratch_dir(t.spark, "bronze")
-    documents = read_documents(t.spark, landing, one_per_file=False)
-    bronze.load_batch(t.spark, documents, target, "first")
-    bronze.load_batch(t.spark, documents, target, "again")  # everything known: adds nothing
+    texts = read_texts(t.spark, landing, one_per_file=False)
+    bronze.load_batch(t.spark, texts, target, "first")
+    bronze.load_batch(t.spark, texts, target, "again")  # everything known: adds nothing
     return bronze.read_bronze(t.spark, target).select(*_BRONZE)
 
 
@@ -262,26 +262,25 @@ def provider_sql_extract(t: Tables) -> DataFrame:
 
 
 def flat_extract(t: Tables) -> DataFrame:
-    """Flat extract of the bronze providers, cut into short pieces."""
+    """Flat extract of the bronze providers in short pieces, written as CSV and read back."""
     rows = roles.document_providers(t).join(
         roles.document_facts(t).drop("extraction_stats", "number_of_api_calls"), "document_id"
     )
-    empty = F.lit(None).cast("string")
-    wide = rows.select(
-        "*",
-        *(
-            empty.alias(c)
-            for c in (
-                "data_provider_name",
-                "data_source_cuid",
-                "data_source_type",
-                "data_source_name",
-                "connection_name",
-                "connection_type",
-            )
-        ),
+    provider, source = F.col("data_provider_id"), F.col("data_source_id")
+    wide = rows.withColumns(
+        {
+            "data_provider_name": F.concat(F.lit("Query "), provider),
+            "data_source_cuid": F.concat(F.lit("cuid-"), source),
+            "data_source_type": F.lit("unv"),
+            "data_source_name": F.concat(F.lit("Universe "), source),
+            "connection_name": F.concat(F.lit("Connection "), F.col("connection_id")),
+            "connection_type": F.lit("Relational"),
+        }
     )
-    return extraction.flat_extract(wide, size=20)
+    path = scratch_dir(t.spark, "flat")
+    write_quoted_csv(extraction.flat_extract(wide, "Reports", size=20), path)
+    reader = t.spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    return reader.csv(path).fillna("")
 
 
 def sql_chunks(t: Tables) -> DataFrame:

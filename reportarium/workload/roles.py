@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportarium.operators.lists import paged_sets
+from reportarium.operators.lists import record_lists
 
 RUN_DATE = "2026-01-31"
 
@@ -284,8 +284,9 @@ def universe_tables(t: Tables) -> DataFrame:
     )
 
 
-def impact(t: Tables) -> DataFrame:
-    return t.part.filter("p_type = 'PROMO'").select(
+def impact(t: Tables, promoted: bool = False) -> DataFrame:
+    """Tables of a migration: those of all parts, or of promoted parts only."""
+    return t.part.filter("p_type = 'PROMO'" if promoted else "true").select(
         F.concat(F.lit(" "), F.upper(_part_table())).alias("table_name"),
         F.lit("yes").alias("impacted"),
         F.when(F.col("p_size") > 25, "no").otherwise("yes").alias("used_in_mi"),
@@ -307,7 +308,19 @@ def provider_times(t: Tables) -> DataFrame:
 
 
 def document_facts(t: Tables) -> DataFrame:
-    """Documents with extraction statistics, as text like in the landed files."""
+    """Documents with extraction statistics, as text like in the landed files.
+
+    Customers stand for drafts: documents of theirs without any provider.
+    """
+    drafts = t.customer.select(
+        prefixed("draft ", "c_custkey").alias("document_id"),
+        F.col("c_name").alias("document_name"),
+        F.lit("False").alias("extraction_stats"),
+    )
+    return _stored_facts(t).unionByName(drafts, allowMissingColumns=True)
+
+
+def _stored_facts(t: Tables) -> DataFrame:
     return first_generation(t).select(
         "document_id",
         "document_cuid",
@@ -324,8 +337,8 @@ def document_facts(t: Tables) -> DataFrame:
 
 
 def document_providers(t: Tables) -> DataFrame:
-    """Providers of documents; finished line items are left out, so some documents have none."""
-    return t.lineitem.filter("l_linestatus = 'O'").select(
+    """Providers of documents: all line items."""
+    return t.lineitem.select(
         text("l_orderkey").alias("document_id"),
         F.concat_ws("-", F.lit("DP"), text("l_linenumber"), text("l_partkey"), text("l_suppkey")).alias(
             "data_provider_id"
@@ -394,12 +407,11 @@ def responses(t: Tables) -> DataFrame:
         prefixed("p", "l_partkey").alias("dataSourceId"),
         _source_type().alias("dataSourceType"),
     )
-    pages = paged_sets(
+    by_document = record_lists(
         listed, ["document_id"], ["id", "name", "dataSourceId", "dataSourceType"], "dataprovider"
     )
-    page = F.when(F.col("page_no") > 0, F.concat(F.lit("("), text("page_no"), F.lit(")"))).otherwise("")
-    lists = pages.select(
-        path(F.col("document_id"), "_dataproviders_Response", page, ".json").alias("path"),
+    lists = by_document.select(
+        path(F.col("document_id"), "_dataproviders_Response.json").alias("path"),
         F.to_json(F.struct(F.struct("dataprovider").alias("dataproviders"))).alias("body"),
     )
     sql = F.concat(F.lit("SELECT * FROM t"), text("l_partkey"))
@@ -547,7 +559,7 @@ def answers(t: Tables) -> DataFrame:
             F.when(good, "high").otherwise("certain").alias("confidence"),
         )
     )
-    return t.documents.join(t.labels, "doc_id").select(
+    return t.documents.join(t.labels, "doc_id", "left").select(
         text("doc_id").alias("document_id"),
         F.when(F.col("toxic") == 1, F.col("text")).otherwise(body).alias("answer"),
     )

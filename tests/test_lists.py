@@ -1,4 +1,4 @@
-"""Paged lists and keys under skew."""
+"""Lists and keys under skew."""
 
 import random
 
@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from reportarium.operators.chunks import chunk_text
 from reportarium.operators.keys import latest_per_key, look_up, not_in, unique_dimension
-from reportarium.operators.lists import join_pages, paged_sets
+from reportarium.operators.lists import distinct_records, record_lists
 from reportarium.plans.enrich import enriched_documents
-from reportarium.plans.fields import DEFINITION, field_dictionary
+from reportarium.plans.fields import DEFINITION, field_dictionary, field_entries
 from reportarium.plans.silver import impacted_universes
 
 
@@ -20,65 +20,52 @@ def skewed(spark, rows=3000):
     )
 
 
-def test_pages_hold_everything_once_and_stay_small(spark):
+def test_one_row_per_key_with_all_records_once(spark):
+    listed = record_lists(skewed(spark), ["k"], ["v"], "vs")
+    rows = {r.k: r for r in listed.collect()}
+    assert len(rows) == listed.count() and rows["hot"].vs_count == 500
+    assert all(len(set(r.vs)) == len(r.vs) == r.vs_count for r in rows.values())
+    back = listed.select("k", F.explode("vs").alias("v"))
     df = skewed(spark)
-    paged = paged_sets(df, ["k"], ["v"], "vs", page_rows=100).cache()
-    pages = {r.k: r.n for r in paged.groupBy("k").agg(F.count("*").alias("n")).collect()}
-    assert 5 < pages["hot"] <= 10 and set(pages[k] for k in pages if k != "hot") == {1}
-    assert paged.agg(F.max(F.size("vs"))).collect()[0][0] < 120
-    back = paged.select("k", F.explode("vs").alias("v"))
     assert back.exceptAll(df.distinct()).count() == 0 and df.distinct().exceptAll(back).count() == 0
 
 
-def test_pages_of_wanted_keys_only(spark):
+def test_lists_of_wanted_keys_only(spark):
     only = spark.createDataFrame([("hot",), ("k1",), ("none",), ("k1",)], "k string")
-    paged = paged_sets(skewed(spark), ["k"], ["v"], "vs", page_rows=100, only=only)
-    assert {r.k for r in paged.collect()} == {"hot", "k1"}
-    assert paged.agg(F.sum(F.size("vs"))).collect()[0][0] == 500 + 20
+    listed = record_lists(skewed(spark), ["k"], ["v"], "vs", only=only)
+    assert {r.k: r.vs_count for r in listed.collect()} == {"hot": 500, "k1": 20}
 
 
-def test_pages_are_grouped_after_a_shuffle_of_their_own(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = paged_sets(skewed(spark), ["k"], ["v"], "vs")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    top = plan[: plan.index("SortMergeJoin")]
-    assert "Exchange hashpartitioning" in top
-
-
-def test_page_numbers_are_counted_on_pages(spark):
-    base = spark.createDataFrame([("hot", 1)], "k string, n int")
-    paged = paged_sets(skewed(spark), ["k"], ["v"], "vs")
-    plan = join_pages(base, paged, "k")._jdf.queryExecution().optimizedPlan().toString()
-    counting = plan[plan.index("max(") :]
-    assert "Aggregate [" in counting[: counting.index("Join")]
+def test_a_key_of_100_000_records_and_many_repeats_keeps_its_shape(spark):
+    rows = spark.range(400_000).select(
+        F.when(F.col("id") < 300_000, "hot").otherwise("cold").alias("k"),
+        F.when(F.col("id") < 300_000, F.col("id") % 100_000).otherwise(F.col("id") % 2).alias("v"),
+    )
+    listed = record_lists(rows, ["k"], ["v"], "vs")
+    assert {r.k: r.vs_count for r in listed.select("k", "vs_count").collect()} == {"hot": 100_000, "cold": 2}
+    assert distinct_records(rows, ["k"], ["v"]).count() == 100_002
 
 
-def test_join_pages_keeps_keys_without_pages(spark):
-    base = spark.createDataFrame([("hot", 1), ("lone", 2)], "k string, n int")
-    paged = paged_sets(skewed(spark), ["k"], ["v"], "vs", page_rows=100)
-    left = join_pages(base, paged, "k", "left")
-    assert left.filter("k = 'lone'").collect()[0].vs is None
-    assert left.filter("k = 'hot'").agg(F.sum(F.size("vs"))).collect()[0][0] == 500
-    assert join_pages(base, paged, "k").filter("k = 'lone'").count() == 0
+def test_each_input_is_scanned_once(spark):
+    path = "/root/testdata/sf0.001/lineitem.parquet"
+    rows = spark.read.parquet(path).select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("v"))
+    plan = record_lists(rows, ["k"], ["v"], "vs")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1
 
 
-def test_hot_dictionary_is_enriched_page_by_page(spark):
+def test_hot_dictionary_is_enriched_whole(spark):
     entries = spark.range(500).select(
         F.when(F.col("id") < 400, "1").otherwise("2").alias("document_id"),
         *(F.concat(F.lit(c), F.col("id") % 300).alias(c) for c in DEFINITION),
     )
     scope = spark.createDataFrame([("1",), ("2",)], "document_id string")
-    fields = field_dictionary(entries, scope, page_rows=50)
-    totals = {r.document_id: r.n for r in fields.groupBy("document_id").agg(F.sum("variables_count").alias("n")).collect()}
-    assert totals == {"1": 300, "2": 100}
+    fields = field_dictionary(entries, scope)
+    assert {r.document_id: r.variables_count for r in fields.collect()} == {"1": 300, "2": 100}
+    assert field_entries(entries, scope).count() == 400
     profile = spark.createDataFrame([("1", "a"), ("2", "b"), ("3", "c")], "document_id string, p string")
     samples = spark.createDataFrame([("1", "s"), ("3", "s")], "document_id string, sample string")
     rows = enriched_documents(profile, fields, samples).collect()
-    assert len(rows) == 8 and {r.document_id for r in rows} == {"1"}
-    assert sum(r.fields.variables_count for r in rows) == 300
-    assert all(r.p == "a" and r.sample == "s" for r in rows)
+    assert [(r.document_id, r.p, r.sample, r.fields.variables_count) for r in rows] == [("1", "a", "s", 300)]
 
 
 def test_document_ids_of_other_types_and_padding_meet(spark):
@@ -94,7 +81,7 @@ def test_impacted_universe_with_many_tables(spark):
         [("big", tables), ("safe", "x, ,"), ("none", None), ("big", "T1 , t2")], "universe string, tables string"
     )
     impact = spark.createDataFrame([(f" T{i}",) for i in range(50)], "table_name string")
-    rows = impacted_universes(universes, impact, page_rows=20).collect()
+    rows = impacted_universes(universes, impact).collect()
     big = [t for r in rows if r.universe == "big" for t in r.matched_tables]
     assert sorted(big) == sorted(f"t{i}" for i in range(50))
     tags = {r.universe: r.risk_tag for r in rows}

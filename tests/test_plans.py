@@ -2,10 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as contract
 from conftest import SMALL
+from reportarium.workload.catalog import registered
 
-QUERIES = contract.queries()
+QUERIES = registered()
 PYTHON = {"provider_sql_extract"}  # deep query plans are walked in Python
 
 
@@ -36,7 +36,7 @@ def test_latest_rows_are_pruned_before_the_shuffle(plans):
 def test_scans_read_few_columns_and_filters_reach_them(plans):
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plans["shortlist"]
     assert "Not(EqualTo(o_orderstatus,F))" in plans["shortlist"]
-    assert "EqualTo(p_type,PROMO)" in plans["impact_list"]
+    assert "EqualTo(p_type,PROMO)" in plans["impacted_universes"]
     assert "l_quantity" not in plans["freshness_counts"]
     assert "text" not in plans["registry_pending"]
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reportarium.operators.keys import look_up
-from reportarium.operators.lists import paged_sets
+from reportarium.operators.lists import distinct_records, record_lists
 from reportarium.plans import silver, usage
 
 # Small thresholds, so that test data counts as skewed, and no broadcast.
@@ -53,13 +53,14 @@ def test_look_up_splits_a_hot_key(skew):
     assert joined.filter("value is null").count() == 0 and joined.count() == 60_000
 
 
-def test_paged_sets_split_a_hot_key(skew):
-    paged = paged_sets(hot(skew), ["k"], ["v"], "vs", page_rows=500)
-    assert "skew=true" in final_plan(paged)
-    assert paged.agg(F.sum(F.size("vs"))).collect()[0][0] == 60_000
-    wanted = paged_sets(hot(skew), ["k"], ["v"], "vs", 500, only=dimension(skew).select(F.col("key").alias("k")))
-    assert "skew=true" in final_plan(wanted)
-    assert wanted.agg(F.sum(F.size("vs"))).collect()[0][0] == 60_000
+def test_records_of_a_hot_key_are_spread_before_they_are_listed(skew):
+    listed = record_lists(hot(skew), ["k"], ["v"], "vs")
+    plan = final_plan(listed)
+    assert "hashpartitioning(k#" in plan and "v#" in plan[plan.rindex("hashpartitioning") :].split("]")[0]
+    assert listed.agg(F.sum("vs_count")).collect()[0][0] == 60_000
+    only = dimension(skew).select(F.col("key").alias("k"))
+    wanted = distinct_records(hot(skew), ["k"], ["v"], only=only)
+    assert "skew=true" in final_plan(wanted) and wanted.count() == 60_000
 
 
 def test_audit_of_a_hot_report(skew):

@@ -361,7 +361,9 @@ def test_response_files(spark, folder):
         ("DP7", "0"): ("Data Source Type None not handled for SQL extraction", None),
     }
     assert len(rows) == 8 and {r.document_name for r in rows} == {"Twelve"}
-    flat = extraction.flat_extract(extraction.provider_sql(kinds, look_ups), size=10)
+    flat = extraction.flat_extract(
+        extraction.provider_sql(kinds, look_ups), "Reports", size=10
+    )
     assert len(flat.columns) == 37 and flat.filter('"is_Partial" is not null').count() == flat.count()
     pieces = flat.filter("dataprovider_id = 'DP5'").orderBy("sql_index").collect()
     assert "".join(p.sql_query for p in pieces) == got["DP5", "0"][0]
