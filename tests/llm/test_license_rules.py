@@ -1,0 +1,51 @@
+from plain import odd_documents
+from reportarium.llm.license_rules import RULES, SENTENCES, find_licences
+
+MIT = (
+    "Copyright (c) 2020 Somebody\n\n"
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+    'associated documentation files (the "Software"), to deal in the Software without restriction, including '
+    "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+    "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+    "following conditions:\n\nThe above copyright notice and this permission notice shall be included in all "
+    'copies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF '
+    "ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR "
+    "A PARTICULAR PURPOSE AND NONINFRINGEMENT."
+)
+
+
+def test_sentences_and_rules_fit_together():
+    assert len(set(SENTENCES.values())) == len(SENTENCES)
+    assert {c for _, own in RULES for c in own} <= set(SENTENCES)
+
+
+def test_licences_by_sentences_in_order(spark):
+    cases = {
+        MIT: ["MIT text"],
+        "Some words. Released under the MIT License.\nMore words": ["MIT"],
+        "LICENSED under  the Apache License,\tVersion 2.0!": ["Apache-2.0"],
+        "Licensed under CC BY-NC 4.0.\nLicensed under CC BY-NC 4.0.": ["CC-BY-NC-4.0"] * 2,
+        "Released under the MIT License": ["MIT"],
+        "It was not released under the MIT License, they say.": [],
+        "See the GNU General Public License for more details.": [],
+    }
+    header = ("R", "S", "T")
+    cases[". ".join(SENTENCES[c] for c in header) + "."] = ["GPL-3.0-or-later header"]
+    cases[". ".join(SENTENCES[c] for c in "RS") + "."] = ["GPL-3.0-or-later header"]
+    cases[". ".join(SENTENCES[c] for c in "SR") + "."] = []
+    cases[f"{SENTENCES['M']}: (1). {SENTENCES['N']}; and. {SENTENCES['O']}."] = ["BSD-2-Clause"]
+    cases[f"{SENTENCES['M']}.\na.\nb.\nc.\n{SENTENCES['N']}.\n{SENTENCES['O']}."] = []
+    rows = [(i, text) for i, text in enumerate(cases)]
+    found = find_licences(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: r.licences for r in found.collect()}
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
+
+
+def test_odd_rows(spark):
+    documents = odd_documents(spark)
+    rows = find_licences(documents).collect()
+    assert len(rows) == documents.count()
+    assert {(r.identifiers, tuple(r.licences)) for r in rows if r.doc_id in (0, 1, 2)} == {("", ())}
+    assert find_licences(documents.limit(0)).collect() == []
+    many = spark.createDataFrame([(1, "Released under the MIT License.\n" * 5000)], "doc_id long, text string")
+    assert len(find_licences(many).first().licences) == 5000

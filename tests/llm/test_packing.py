@@ -1,0 +1,112 @@
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from conftest import SMALL
+from plain import WORDS, crc, odd_documents, word_ids, word_tokenizer
+from reportarium.llm import registry
+from reportarium.llm.packing import RANKS, layout, pack, plan, powers
+
+
+def places(histogram, size):
+    """Each piece's (length, sequence, offset), by the layout."""
+    made = layout(histogram, size)
+    starts, sequences, offsets = made.arrays()
+    for length, count in histogram.items():
+        for rank in range(count):
+            if rank < made.anew.get(length, RANKS):
+                at = length * RANKS + rank
+                k = np.searchsorted(starts, at, side="right") - 1
+                yield length, int(sequences[k] + at - starts[k]), int(offsets[k])
+            else:
+                parts = made.cuts(length, rank)
+                assert [p for _, p, _, _ in parts] == powers(length)
+                yield from ((p, sequence, offset) for _, p, sequence, offset in parts)
+
+
+def padding(sequences, size):
+    return sum(0 if n & (n - 1) == 0 else size - n for n in sequences.values())
+
+
+def filled(pieces):
+    """Tokens of each sequence; its pieces lie without gap."""
+    by_sequence = defaultdict(list)
+    for length, sequence, offset in pieces:
+        by_sequence[sequence].append((offset, length))
+    totals = {}
+    for sequence, own in by_sequence.items():
+        end = 0
+        for offset, length in sorted(own):
+            assert offset == end
+            end += length
+        totals[sequence] = end
+    return totals
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_layout_places_everything_once_without_gaps(seed):
+    rnd = random.Random(seed)
+    size = rnd.choice([8, 16, 64])
+    lengths = rnd.sample(range(1, size + 1), rnd.randint(1, size))
+    histogram = {n: rnd.randint(1, 9) for n in lengths}
+    totals = filled(places(histogram, size))
+    assert max(totals.values()) <= size
+    assert sum(totals.values()) == sum(n * c for n, c in histogram.items())
+    assert sorted(totals) == list(range(len(totals)))
+
+
+def test_one_awkward_length_wastes_nothing():
+    totals = filled(places({40: 1000}, 64))
+    assert padding(totals, 64) == 0 and sum(totals.values()) == 40_000
+
+
+def test_shortest_pack_gets_the_next_piece():
+    assert plan({5: 1, 4: 1, 2: 1}, 8) == [([4, 2], 1), ([5], 1)]
+
+
+def check(rows, documents, size):
+    tokenizer = word_tokenizer()
+    by_doc = defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+    for doc, text in documents:
+        ids = word_ids(text, 2, tokenizer)
+        own = sorted(by_doc[doc], key=lambda r: r.start)
+        assert {r.doc_tokens for r in own} == {len(ids)}
+        assert [r.start for r in own] == list(np.cumsum([0] + [r.length for r in own[:-1]]))
+        assert sum(r.length for r in own) == len(ids)
+        for r in own:
+            piece = ids[r.start : r.start + r.length]
+            assert r.ids_crc32 == crc(piece)
+            assert "ids" not in r or r.ids == piece
+    totals = filled((r.length, r.sequence_id, r.offset) for r in rows)
+    assert max(totals.values(), default=0) <= size
+    return totals
+
+
+def test_query_covers_all_documents_with_little_padding(spark):
+    rows = registry.op2_length_packing(spark, SMALL).collect()
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
+    totals = check(rows, [(r.doc_id, r.text) for r in documents.collect()], 4096)
+    assert padding(totals, 4096) < 0.02 * sum(totals.values())
+
+
+def test_small_sequences_keep_their_ids(spark):
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    rows = pack(documents, WORDS, size=64).collect()
+    totals = check(rows, [(r.doc_id, r.text) for r in documents.collect()], 64)
+    assert padding(totals, 64) < 0.05 * sum(totals.values())
+
+
+def test_odd_rows(spark):
+    documents = odd_documents(spark)
+    tokenizer = word_tokenizer()
+    rows = pack(documents, WORDS, keep_ids=True).collect()
+    filled((r.length, r.sequence_id, r.offset) for r in rows)
+    want = sorted(i for r in documents.collect() for i in word_ids(r.text, 2, tokenizer))
+    assert sorted(i for r in rows for i in r.ids) == want
+    null_text = [r for r in rows if r.doc_id == 0]
+    assert [(r.start, r.length, r.ids) for r in null_text] == [(0, 1, [2])]
+    assert pack(documents.limit(0), WORDS).collect() == []
