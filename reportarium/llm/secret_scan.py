@@ -79,14 +79,14 @@ def entropies(text: str, window: int) -> Iterator[float]:
     counts: dict[str, int] = {}
     total = 0.0
     for i, c in enumerate(text):
-        n = counts.get(c, 0)
-        counts[c] = n + 1
-        total += weight[n + 1] - weight[n]
         if i >= window:
             out = text[i - window]
             n = counts[out]
             counts[out] = n - 1
             total += weight[n - 1] - weight[n]
+        n = counts.get(c, 0)
+        counts[c] = n + 1
+        total += weight[n + 1] - weight[n]
         if i >= window - 1:
             yield math.log2(window) - total / window
 

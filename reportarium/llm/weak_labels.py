@@ -16,6 +16,8 @@ import numpy as np
 ROUNDS = 50
 #: Pseudo-votes per voter, kind and vote.
 SMOOTH = 1.0
+#: Correlation of votes from which two voters are taken for one before anything is known.
+SAME = 0.9
 
 
 @dataclass
@@ -79,14 +81,17 @@ def fit_label_model(votes: np.ndarray, trusted: tuple[int, float] | None = None)
     """The model; ``trusted`` is a voter and the accuracy it is known to have."""
     total = votes[:, trusted[0]] if trusted else votes.sum(axis=1)
     first = np.where(total > 0, 0.95, np.where(total < 0, 0.03, 0.2))
-    model = _fitted(votes, np.ones(votes.shape[1]), first, trusted)
-    toxic = model.posterior(votes)
+
+    def weights(repeats: np.ndarray) -> np.ndarray:
+        if trusted:  # it votes by itself, not by what the others vote by
+            repeats[trusted[0], :] = repeats[:, trusted[0]] = 0
+        return 1 / np.maximum(repeats.sum(axis=1), 1)
+
+    # Voters that hardly ever differ would outvote the others from the start.
+    nearly = (_correlations(votes, np.zeros(len(votes))) > SAME).astype(float)
+    toxic = _fitted(votes, weights(nearly), first, trusted).posterior(votes)
     shared = _correlations(votes, toxic)
-    repeats = np.maximum(shared, 0)
-    if trusted:  # it votes by itself, not by what the others vote by
-        repeats[trusted[0], :] = repeats[:, trusted[0]] = 0
-    weights = 1 / np.maximum(repeats.sum(axis=1), 1)
-    model = _fitted(votes, weights, toxic, trusted)
+    model = _fitted(votes, weights(np.maximum(shared, nearly)), toxic, trusted)
     model.correlations = shared
     return model
 
