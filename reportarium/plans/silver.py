@@ -196,6 +196,33 @@ def file_metadata(
     )
 
 
+# Columns of the provider list, in its order.
+_LISTED = (
+    "document_id",
+    "document_cuid",
+    "document_name",
+    "folder_id",
+    "full_path",
+    "scheduled",
+    "updated",
+    "number_of_data_providers",
+    "data_provider_id",
+    "data_provider_name",
+    "data_source_id",
+    "data_source_cuid",
+    "refresh_time",
+    "connection_id",
+    "connection_name",
+    "created_by",
+    "last_author",
+)
+
+
+def provider_list(bronze: DataFrame) -> DataFrame:
+    """Distinct providers of documents, without their statements."""
+    return bronze.select(*_LISTED).distinct().withColumnRenamed("last_author", "updated_by")
+
+
 def freshness_counts(providers: DataFrame) -> DataFrame:
     """Documents updated after, before, or without a refresh of their data; one row.
 

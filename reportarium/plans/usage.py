@@ -98,6 +98,15 @@ def shortlist(scope: DataFrame, audit: DataFrame, limit: int | None = None) -> D
     return found if limit is None else found.orderBy("shortlist_id").limit(limit)
 
 
+def distinct_consumers(scope: DataFrame, audit: DataFrame) -> DataFrame:
+    """Users per document in scope, each counted once however the login is spelled."""
+    user = normal_key(F.col("user_name")).alias("user")
+    pairs = audit.select(F.trim("document_id").alias("document_id"), user).distinct()
+    ids = _scope_ids(scope).select(F.trim("document_id").alias("document_id")).distinct()
+    counted = pairs.groupBy("document_id").agg(F.count("user").alias("distinct_users"))
+    return ids.join(counted, "document_id")
+
+
 def shortlist_profile(scope: DataFrame, audit: DataFrame, directory: DataFrame) -> DataFrame:
     """Shortlisted documents with their users, units and the total in scope."""
     pairs = audit.select(F.trim("document_id").alias("__id"), "user_name").distinct()

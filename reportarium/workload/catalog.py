@@ -86,6 +86,15 @@ def shortlist(t: Tables) -> DataFrame:
     return usage.shortlist(roles.scope(t), roles.audit(t))
 
 
+def shortlist_first(t: Tables) -> DataFrame:
+    """The first documents of the shortlist by id; the limit is the report's."""
+    return usage.shortlist(roles.scope(t), roles.audit(t), limit=25)
+
+
+def distinct_consumers(t: Tables) -> DataFrame:
+    return usage.distinct_consumers(roles.scope(t), roles.audit(t))
+
+
 def shortlist_audited(t: Tables) -> DataFrame:
     return usage.shortlist_profile(roles.scope(t), roles.audit(t), roles.directory(t))
 
@@ -198,8 +207,14 @@ def generations_by_name(t: Tables) -> DataFrame:
 
 
 def _landing(t: Tables) -> str:
+    """Landed documents; some lists hold elements that are no providers."""
     path = scratch_dir(t.spark, "landing")
-    write_document_lines(document_json(roles.document_facts(t), roles.document_providers(t)), path)
+    landed = document_json(roles.document_facts(t), roles.document_providers(t))
+    odd = F.replace(
+        "value", F.lit('"Data_Providers":[{'), F.lit('"Data_Providers":["no provider",7,null,{')
+    )
+    value = F.when(F.crc32(F.col("document_id").cast("binary")) % 5 == 0, odd).otherwise(F.col("value"))
+    write_document_lines(landed.withColumn("value", value), path)
     return path
 
 
@@ -232,6 +247,12 @@ def bronze_flatten(t: Tables) -> DataFrame:
     return bronze.read_bronze(t.spark, target).select(*_BRONZE)
 
 
+def provider_list(t: Tables) -> DataFrame:
+    target = scratch_dir(t.spark, "bronze")
+    bronze.load_batch(t.spark, read_texts(t.spark, _landing(t), one_per_file=False), target, "first")
+    return silver.provider_list(bronze.read_bronze(t.spark, target))
+
+
 def bronze_stream_load(t: Tables) -> DataFrame:
     landing, target = _landing(t), scratch_dir(t.spark, "bronze")
     for _ in range(2):  # a second stream with a checkpoint of its own finds nothing new
@@ -261,6 +282,35 @@ def provider_sql_extract(t: Tables) -> DataFrame:
     return extraction.provider_sql(landed, roles.universe_connections(t))
 
 
+_EXTRACTED = (
+    *("document_id", "document_cuid", "document_name", "folder_id", "full_path", "created_by"),
+    *("last_author", "scheduled", "updated", "extraction_stats", "number_of_api_calls"),
+    *("api_pause_counts", "number_of_data_providers", "data_provider_id", "data_provider_name"),
+    *("data_source_id", "data_source_type", "data_source_name", "sql_index", "sql_query"),
+    *("connection_id", "connection_name", "connection_type", "connection_database"),
+    "connection_network",
+)
+
+
+def extraction_to_bronze(t: Tables) -> DataFrame:
+    """Responses to providers and statistics, to landed documents, to bronze rows."""
+    responses = extraction.land_responses(roles.responses(t), scratch_dir(t.spark, "responses"))
+    providers = read_parquet(t.spark, _written(t, extraction.provider_sql(responses, roles.universe_connections(t))))
+    documents = extraction.extracted_documents(responses, providers, roles.calls(t))
+    landing, target = scratch_dir(t.spark, "landing"), scratch_dir(t.spark, "bronze")
+    write_document_lines(document_json(documents, providers), landing)
+    texts = read_texts(t.spark, landing, one_per_file=False)
+    bronze.load_batch(t.spark, texts, target, "first")
+    return bronze.read_bronze(t.spark, target).select(*_EXTRACTED)
+
+
+def _written(t: Tables, df: DataFrame) -> str:
+    """A step's result in a folder of its own, for steps that read it more than once."""
+    path = scratch_dir(t.spark, "step")
+    df.write.parquet(path)
+    return path
+
+
 def flat_extract(t: Tables) -> DataFrame:
     """Flat extract of the bronze providers in short pieces, written as CSV and read back."""
     rows = roles.document_providers(t).join(
@@ -522,6 +572,8 @@ QUERIES = (
     consumer_profile,
     usage_pairs_v1,
     shortlist,
+    shortlist_first,
+    distinct_consumers,
     shortlist_audited,
     shortlist_share,
     units_detected,
@@ -546,9 +598,11 @@ QUERIES = (
     column_fill,
     generations_by_name,
     bronze_flatten,
+    provider_list,
     bronze_stream_load,
     reference_list_load,
     provider_sql_extract,
+    extraction_to_bronze,
     flat_extract,
     sql_chunks,
     extraction_stats,
