@@ -83,5 +83,57 @@ FROM matched
 """
 
 
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^ \t\n\x0B\f\r]+') AS words
+    FROM documents
+), shingled AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
+        WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))
+        END) AS shingle
+    FROM worded
+), sizes AS (
+    SELECT doc_id, count(shingle) AS n FROM documents LEFT JOIN shingled USING (doc_id) GROUP BY 1
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+    FROM shingled a JOIN shingled b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * common >= 80 * (x.n + y.n - common)
+), edges AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other
+)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sizes JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) USING (doc_id)
+"""
+
+EXACT_TOPK = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
+FROM scored WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
 def sql() -> dict[str, str]:
-    return {"op1_tool_calls": TOOL_CALLS, "op7_license_rules": license_sql()}
+    return {
+        "op1_tool_calls": TOOL_CALLS,
+        "op4_super_minhash": NEAR_DUPLICATES,
+        "op7_license_rules": license_sql(),
+        "op9_exact_topk": EXACT_TOPK,
+    }
