@@ -8,8 +8,8 @@ register can change: after the first places for texts of some length.
 Documents of equal shingle sets form a class, and one of them stands for it. Two classes that
 agree in all registers of a band are candidates, confirmed on their full sets of hashes
 (64 bits a shingle). No bucket is expanded into all its pairs: its members are compared with
-its smallest one first; only members that are still in different groups are compared with
-each other. Groups come from hooking each group onto a smaller one and jumping along the
+its smallest one first; members that are then still in different groups are compared where
+they share one of their rarest shingles, which no near pair can do without. Groups come from hooking each group onto a smaller one and jumping along the
 hooks, in logarithmically many rounds.
 
 Null or empty text: no shingles, linked with nothing. Rows with one id are one document for
@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,8 @@ _OTHER = np.uint64(0xD1B54A32D192ED03)
 _STEPS = np.arange(1, 1 << 12, dtype=np.uint64) * _STEP
 #: Places of a permutation that are looked up in its list of swaps, before it is written out.
 LISTED = 8
+#: Size of the table of shingle frequencies, and the parts in which it is summed.
+TABLE_BITS, SLICES = 18, 64
 #: Bytes of text whose shingles are held at once.
 TEXTS = 1 << 20
 
@@ -93,7 +96,7 @@ def signatures(sets: list[np.ndarray], registers: int = BANDS * ROWS) -> np.ndar
 
 def band_hashes(least: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """One hash per band, different for equal registers in different bands."""
-    parts = least.reshape(len(least), bands, -1)
+    parts = least.reshape(len(least), bands, least.shape[1] // bands)
     total = np.zeros(parts.shape[:2], dtype=np.uint64)
     for r in range(parts.shape[2]):
         total = mix(total * _STEP + parts[:, :, r])
@@ -200,6 +203,88 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * shared >= percent * union).select("a", "b")
 
 
+def _frequencies(held: DataFrame) -> np.ndarray:
+    """How often shingles occur, by the first bits of their hash: a table of fixed size."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << TABLE_BITS, dtype=np.int64)
+        for batch in batches:
+            hashes = batch.column("hashes").flatten().to_numpy().view(np.uint64)
+            total += np.bincount(_places(hashes), minlength=len(total))
+        slices = total.reshape(SLICES, -1)
+        rows = [pa.array(np.arange(SLICES)), pa.array([part.tobytes() for part in slices])]
+        yield pa.RecordBatch.from_arrays(rows, names=["slice", "counts"])
+
+    def add(parts: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(part, dtype=np.int64) for part in parts["counts"])
+        return pd.DataFrame({"slice": parts["slice"][:1], "counts": [total.tobytes()]})
+
+    schema = "slice long, counts binary"
+    parts = held.mapInArrow(count, schema).groupBy("slice").applyInPandas(add, schema)
+    by_slice = {r["slice"]: r["counts"] for r in parts.collect()}  # the table of fixed size
+    empty = bytes(8 * (1 << TABLE_BITS) // SLICES)
+    table = b"".join(bytes(by_slice.get(i, empty)) for i in range(SLICES))
+    return np.frombuffer(table, dtype=np.int64)
+
+
+def _places(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+
+def _prefix_pairs(held: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different groups that can be near, at least one of them outside.
+
+    Two sets of n and m >= n shingles that share enough share one of the rarest
+    n - ceil(2tn / (1 + t)) + 1 of the smaller and m - ceil(tm) + 1 of the larger set, in
+    any order of shingles that holds for both. Rarest first, members of a large group
+    that have drifted apart meet few others.
+    """
+    counts = held.sparkSession.sparkContext.broadcast(_frequencies(held))
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("hashes")
+            bounds = lists.offsets.to_numpy()
+            hashes = lists.values.to_numpy().view(np.uint64)
+            rows, shingles, short = [], [], []
+            for row, (a, b) in enumerate(zip(bounds, bounds[1:])):
+                own, n = hashes[a:b], int(b - a)
+                order = np.lexsort((own, counts.value[_places(own)]))
+                probe = n - (percent * n + 99) // 100 + 1
+                index = n - (2 * percent * n + 99 + percent) // (100 + percent) + 1
+                rows.append(np.full(probe, row))
+                shingles.append(own[order[:probe]])
+                short.append(np.arange(probe) < index)
+            if not rows:
+                continue
+            at = pa.array(np.concatenate(rows))
+            sizes = pa.array(np.diff(bounds).astype(np.int64)).take(at)
+            columns = [batch.column(c).take(at) for c in ("id", "component", "outside")]
+            columns += [sizes, pa.array(_signed(np.concatenate(shingles)))]
+            columns.append(pa.array(np.concatenate(short)))
+            yield pa.RecordBatch.from_arrays(
+                columns, names=["id", "component", "outside", "n", "shingle", "short"]
+            )
+
+    schema = "id long, component long, outside boolean, n long, shingle long, short boolean"
+    rows = staged(
+        held.select("id", "component", "outside", "hashes").mapInArrow(prefixes, schema), "prefixes"
+    )
+    names = ["id", "component", "n", "short"]
+    left = rows.filter("outside").select("shingle", *[F.col(c).alias(f"__{c}") for c in names])
+    smaller = F.struct("__n", "__id") < F.struct("n", "id")
+    return (
+        left.join(rows, "shingle")
+        .filter(
+            (F.col("component") != F.col("__component"))
+            & (F.least("n", "__n") * 100 >= F.greatest("n", "__n") * percent)
+            & F.when(smaller, F.col("__short")).otherwise(F.col("short"))
+        )
+        .select(F.least("id", "__id").alias("a"), F.greatest("id", "__id").alias("b"))
+        .distinct()
+    )
+
+
 def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Rows with the component of their id, which is the id itself where it has no edge."""
     if labels is None:
@@ -285,29 +370,18 @@ def near_duplicates(documents: DataFrame, size: int, percent: int = PERCENT) ->
     )
     left = _labelled(left, labels).filter(F.col("__a") != F.col("component"))
     labels = more(left.select("a", F.col("id").alias("b")))
-    # What is in a bucket's largest group is one with its hub; all others meet all members
-    # that are in other groups, but for the hub, which they have met.
-    placed = staged(_labelled(buckets.select("band", "id", "hub"), labels), "placed")
+    # In buckets that still hold several groups, what is outside the largest one meets others
+    # by the rarest shingles of both.
+    placed = staged(_labelled(buckets.select("band", "id"), labels), "placed")
     groups = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("rows"))
     most = groups.groupBy("band").agg(
         F.max(F.struct("rows", "component")).alias("__most"), F.count(F.lit(1)).alias("groups")
     )
     several = most.filter("groups > 1").select("band", F.col("__most.component").alias("__main"))
-    mixed = staged(placed.join(several, "band"), "mixed")
-    outside = mixed.filter(F.col("component") != F.col("__main")).select(
-        "band", F.col("id").alias("a"), F.col("component").alias("__a"), F.col("hub").alias("__hub")
-    )
-    rest = (
-        outside.join(mixed.drop("hub"), "band")
-        .filter(
-            (F.col("__a") != F.col("component"))
-            & (F.col("a") != F.col("__hub"))
-            & (F.col("id") != F.col("__hub"))
-        )
-        .select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
-        .distinct()
-    )
-    labels = more(rest)
+    mixed = placed.join(several, "band").groupBy("id", "component")
+    outside = F.max(F.col("component") != F.col("__main")).alias("outside")
+    held = staged(sets.join(mixed.agg(outside), "id"), "held")
+    labels = more(_prefix_pairs(held, percent))
 
     placed_classes = _labelled(classes, labels).select(
         *[F.col(c).alias(f"__{c}") for c in content], F.col("component").alias("component_id")
