@@ -234,10 +234,10 @@ def _places(hashes: np.ndarray) -> np.ndarray:
 def _prefix_pairs(held: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different groups that can be near, at least one of them outside.
 
-    Two sets of n and m >= n shingles that share enough share one of the rarest
-    n - ceil(2tn / (1 + t)) + 1 of the smaller and m - ceil(tm) + 1 of the larger set, in
-    any order of shingles that holds for both. Rarest first, members of a large group
-    that have drifted apart meet few others.
+    Two sets of n and m shingles must share c = ceil(t(n + m) / (1 + t)) of them, and then
+    share one among the first n - c + 1 and m - c + 1, in any order of shingles that holds
+    for both. Rarest first, members of a large group that have drifted apart meet few
+    others. A set keeps what its smallest partner needs, n - ceil(tn) + 1.
     """
     counts = held.sparkSession.sparkContext.broadcast(_frequencies(held))
 
@@ -246,39 +246,40 @@ def _prefix_pairs(held: DataFrame, percent: int) -> DataFrame:
             lists = batch.column("hashes")
             bounds = lists.offsets.to_numpy()
             hashes = lists.values.to_numpy().view(np.uint64)
-            rows, shingles, short = [], [], []
+            rows, shingles, places = [], [], []
             for row, (a, b) in enumerate(zip(bounds, bounds[1:])):
                 own, n = hashes[a:b], int(b - a)
                 order = np.lexsort((own, counts.value[_places(own)]))
-                probe = n - (percent * n + 99) // 100 + 1
-                index = n - (2 * percent * n + 99 + percent) // (100 + percent) + 1
-                rows.append(np.full(probe, row))
-                shingles.append(own[order[:probe]])
-                short.append(np.arange(probe) < index)
+                first = n - (percent * n + 99) // 100 + 1
+                rows.append(np.full(first, row))
+                shingles.append(own[order[:first]])
+                places.append(np.arange(first))
             if not rows:
                 continue
             at = pa.array(np.concatenate(rows))
             sizes = pa.array(np.diff(bounds).astype(np.int64)).take(at)
             columns = [batch.column(c).take(at) for c in ("id", "component", "outside")]
             columns += [sizes, pa.array(_signed(np.concatenate(shingles)))]
-            columns.append(pa.array(np.concatenate(short)))
+            columns.append(pa.array(np.concatenate(places)))
             yield pa.RecordBatch.from_arrays(
-                columns, names=["id", "component", "outside", "n", "shingle", "short"]
+                columns, names=["id", "component", "outside", "n", "shingle", "place"]
             )
 
-    schema = "id long, component long, outside boolean, n long, shingle long, short boolean"
+    schema = "id long, component long, outside boolean, n long, shingle long, place long"
     rows = staged(
         held.select("id", "component", "outside", "hashes").mapInArrow(prefixes, schema), "prefixes"
     )
-    names = ["id", "component", "n", "short"]
+    names = ["id", "component", "n", "place"]
     left = rows.filter("outside").select("shingle", *[F.col(c).alias(f"__{c}") for c in names])
-    smaller = F.struct("__n", "__id") < F.struct("n", "id")
+    both = percent * (F.col("n") + F.col("__n"))
+    common = F.floor((both + (99 + percent)) / (100 + percent))
     return (
         left.join(rows, "shingle")
         .filter(
             (F.col("component") != F.col("__component"))
             & (F.least("n", "__n") * 100 >= F.greatest("n", "__n") * percent)
-            & F.when(smaller, F.col("__short")).otherwise(F.col("short"))
+            & (F.col("place") <= F.col("n") - common)
+            & (F.col("__place") <= F.col("__n") - common)
         )
         .select(F.least("id", "__id").alias("a"), F.greatest("id", "__id").alias("b"))
         .distinct()
