@@ -330,7 +330,9 @@ def near_duplicates(documents: DataFrame, size: int, percent: int = PERCENT) ->
                 buckets.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"
             ),
             size,
-        ).distinct(),
+        )
+        .filter(F.size("hashes") > 0)
+        .distinct(),
         "sets",
     )
     sizes = sets.groupBy("id").agg(

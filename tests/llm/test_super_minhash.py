@@ -135,6 +135,14 @@ def test_an_id_with_two_texts_joins_their_groups(spark):
     assert found == {(5, 5), (7, 5), (9, 5), (11, 11)}
 
 
+def test_empty_texts_of_repeated_ids_link_nothing(spark):
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(1, ""), (1, a), (2, None), (2, b), (3, a), (4, b), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(df, 4).collect()}
+    assert found == {(1, 0, 1), (1, 3, 1), (2, 0, 2), (2, 3, 2), (3, 3, 1), (4, 3, 2), (5, 0, 5)}
+
+
 def test_grouping_follows_long_chains(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 400) if i != 200], "a long, b long")
     found = {r.id: r.component for r in grouped(edges).collect()}
