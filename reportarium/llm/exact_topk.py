@@ -87,7 +87,9 @@ class Block:
         self.width = 1  # of a bin, for all queries
         self.need = np.full(len(ids), k, dtype=np.int64)
 
-    def scored(self, batch: pa.RecordBatch, scale: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def scored(
+        self, batch: pa.RecordBatch, scale: int
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Ids and scores of rows, step by step, and which (query, row) pairs count."""
         for start in range(0, len(batch), STEP):
             part = batch.slice(start, STEP)

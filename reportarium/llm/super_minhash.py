@@ -9,8 +9,9 @@ Documents of equal shingle sets form a class, and one of them stands for it. Two
 agree in all registers of a band are candidates, confirmed on their full sets of hashes
 (64 bits a shingle). No bucket is expanded into all its pairs: its members are compared with
 its smallest one first; members that are then still in different groups are compared where
-they share one of their rarest shingles, which no near pair can do without. Groups come from hooking each group onto a smaller one and jumping along the
-hooks, in logarithmically many rounds.
+they share one of their rarest shingles, which no near pair can do without. Groups come from
+hooking each group onto a smaller one and jumping along the hooks, in logarithmically many
+rounds.
 
 Null or empty text: no shingles, linked with nothing. Rows with one id are one document for
 grouping, with a row each in the result. A row without an id has no group and is kept.
