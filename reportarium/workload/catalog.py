@@ -295,7 +295,8 @@ _EXTRACTED = (
 def extraction_to_bronze(t: Tables) -> DataFrame:
     """Responses to providers and statistics, to landed documents, to bronze rows."""
     responses = extraction.land_responses(roles.responses(t), scratch_dir(t.spark, "responses"))
-    providers = read_parquet(t.spark, _written(t, extraction.provider_sql(responses, roles.universe_connections(t))))
+    found = extraction.provider_sql(responses, roles.universe_connections(t))
+    providers = read_parquet(t.spark, _written(t, found))
     documents = extraction.extracted_documents(responses, providers, roles.calls(t))
     landing, target = scratch_dir(t.spark, "landing"), scratch_dir(t.spark, "bronze")
     write_document_lines(document_json(documents, providers), landing)
