@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from reportarium.session import scratch_dir
 
 #: Texts of one step inside a task, in bytes; one longer text is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -10,6 +10,7 @@ Strings of special tokens in a text are ordinary text.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -17,11 +18,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
+# Spark runs a task per core; threads of the library's own only add memory.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 #: The vocabulary's own pre-split pattern for lower-case Latin words.
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+|\n")
 OTHER = re.compile(r"[^!-~À-ÖØ-öø-ÿ\n]").search
 #: Parts of words that one worker keeps at most.
-KEPT_PARTS = 300_000
+KEPT_PARTS = 200_000
 
 
 def _byte_letters() -> dict[int, str]:

@@ -33,6 +33,8 @@ LABELLED = 20_000
 LENGTHS = (3, 4, 5, 6, 7, 8, 10, 0)
 BITS = 18
 SPACE = len(LENGTHS) << BITS
+#: Bytes of text whose patterns are held at once.
+TEXTS = 1 << 20
 #: Patterns the classifier has at most.
 PATTERNS = 4096
 #: A lexicon's patterns: their likelihood ratio at least (beyond what the best of a million
@@ -96,7 +98,7 @@ def _counted(sample: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((4, SPACE), dtype=np.int32)
-        for batch in steps(batches):
+        for batch in steps(batches, limit=TEXTS):
             owner, numbers, _ = patterns(batch.column("text"))
             kind = batch.column("half").to_numpy() * 2 + batch.column("toxic").to_numpy()
             np.add.at(total, (kind[owner], numbers), 1)
@@ -185,7 +187,7 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Mo
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns, lexicons, lists = shared.value
-        for batch in steps(batches):
+        for batch in steps(batches, limit=TEXTS):
             texts = batch.column("text")
             owner, numbers, counts = patterns(texts)
             half, toxic = (batch.column(c).to_numpy() for c in ("half", "toxic"))
@@ -225,7 +227,7 @@ def score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
         for batch in batches:
             scores = [
                 own.scores(part.column("text"))
-                for part in steps(iter([batch.select(["text"])]))
+                for part in steps(iter([batch.select(["text"])]), limit=TEXTS)
             ]
             all_scores = pa.array(np.concatenate([np.zeros(0), *scores]))
             yield pa.RecordBatch.from_arrays(
