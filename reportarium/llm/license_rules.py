@@ -1,8 +1,11 @@
 """Find licences in whole texts by their sentences, in the order that a licence's rule names.
 
-A text is cut into sentences at line ends and after closing punctuation, and each sentence is
-reduced to lower-case words. Known licence sentences have an identifier of one letter, so the
-identifiers of a text are one string, with a dot for each other sentence; a rule is an ordered
+A text is cut into pieces at line ends and after closing punctuation, and each piece is reduced
+to lower-case words, which also drops comment marks. A piece is a sentence; but where the words
+of several pieces in a row are a known sentence, they are that one. Such pieces may be parted by
+a line end, a semicolon or a colon (hard-wrapped texts), not by a full stop or a line without
+words. Known licence sentences have an identifier of one letter, so the identifiers of a text
+are one string, with a dot for each other sentence; a rule is an ordered
 pattern of identifiers that allows a few other sentences between them. Longer rules come
 first; matches don't overlap. All of it is built-in functions on one row.
 
@@ -86,6 +89,8 @@ RULES = (
 BETWEEN = r"\.{0,2}"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SENTENCE_END = r"[.!?;:]+[ \t\r\n]+|[\r\n]+"
+#: Marks for the end of a piece: known sentences go on over the first, not over the second.
+SOFT, HARD = "\x01", "\x02"
 
 
 def rule_pattern(sentences: str) -> str:
@@ -96,11 +101,30 @@ def any_rule() -> str:
     return "|".join(rule_pattern(sentences) for _, sentences in RULES)
 
 
+def pieces(text: Column) -> Column:
+    """The lower-case words of the text, with marks where the pieces of ``SENTENCE_END`` end."""
+    low = F.translate(text, UPPER + SOFT + HARD, LOWER + "--")
+    low = F.replace(low, F.lit("\r\n"), F.lit("\n"))
+    ends = F.regexp_replace(low, r"[.!?](?=[ \t\r\n])", HARD)
+    ends = F.regexp_replace(ends, r"[;:](?=[ \t\r\n])", SOFT)
+    words = F.regexp_replace(ends, f"[^a-z0-9\r\n{SOFT}{HARD}]+", " ")
+    gap = f" \r\n{SOFT}{HARD}"
+    # Each gap is tried at its start only, so long ones cost no more than their length.
+    stop = f"[ \r\n{SOFT}]*+{HARD}"
+    blank = f"[ {SOFT}]*+[\r\n][ {SOFT}]*+[\r\n]"
+    hard = F.regexp_replace(words, f"(?<![{gap}])(?:{stop}|{blank})[{gap}]*", HARD)
+    soft = f"(?<![{gap}]) ?[\r\n{SOFT}][ \r\n{SOFT}]*"
+    return F.trim(F.regexp_replace(hard, soft, SOFT))
+
+
 def sentences(text: Column) -> Column:
     """The sentences as lower-case words, without empty ones."""
-    parts = F.split(F.translate(text, UPPER, LOWER), SENTENCE_END)
-    words = F.transform(parts, lambda p: F.trim(F.regexp_replace(p, "[^a-z0-9]+", " ")))
-    return F.filter(words, lambda w: w != "")
+    longest = sorted(SENTENCES.values(), key=len, reverse=True)
+    known = "|".join(s.replace(" ", f"[ {SOFT}]") for s in longest)
+    other = f"[^{SOFT}{HARD}]"
+    one = f"(?<!{other})(?:{known})(?!{other})|{other}+"
+    found = F.regexp_extract_all(pieces(text), F.lit(one), F.lit(0))
+    return F.transform(found, lambda s: F.translate(s, SOFT, " "))
 
 
 def identifiers(listed: Column) -> Column:

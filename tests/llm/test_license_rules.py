@@ -1,3 +1,8 @@
+import re
+import textwrap
+
+import pytest
+
 from plain import odd_documents
 from reportarium.llm.license_rules import RULES, SENTENCES, find_licences
 
@@ -41,6 +46,72 @@ def test_licences_by_sentences_in_order(spark):
     assert [got[i] for i in range(len(cases))] == list(cases.values())
 
 
+#: Paragraphs of the texts as they are published; the line breaks are made by the test.
+PUBLISHED = {
+    "MIT text": MIT.split("\n\n"),
+    "Apache-2.0 header": [
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
+        "compliance with the License. You may obtain a copy of the License at",
+        "http://www.apache.org/licenses/LICENSE-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+        'distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. '
+        "See the License for the specific language governing permissions and limitations under the License.",
+    ],
+    "BSD-2-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met:",
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer.",
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+        "the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    ],
+    "GPL-3.0-or-later header": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License "
+        "for more details.",
+    ],
+}
+PUBLISHED["BSD-3-Clause"] = [
+    *PUBLISHED["BSD-2-Clause"],
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+    "promote products derived from this software without specific prior written permission.",
+]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_wrapped_and_commented_texts(spark, end):
+    want, rows = [], []
+    for licence, paragraphs in PUBLISHED.items():
+        for width in (40, 70, 80, 10_000):
+            for first, mark, last in (("", "", ""), ("", "# ", ""), ("", "// ", ""), ("/*\n", " * ", "\n */")):
+                blocks = (textwrap.fill(p, width) for p in paragraphs)
+                lines = "\n\n".join(blocks).split("\n")
+                text = first + "\n".join((mark + line).rstrip() for line in lines) + last + "\n\nint x = 1;\n"
+                rows.append((len(rows), text.replace("\n", end)))
+                want.append([licence])
+    found = find_licences(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id")
+    assert [r.licences for r in found.collect()] == want
+
+
+def test_sentences_do_not_go_on_over_stops_and_blank_lines(spark):
+    texts = ["Released under\nthe MIT License", "Released under. The MIT License", "Released under\n#\n# the MIT License"]
+    texts += ["Not all of it\nis released under\nthe MIT License", "Released under the\nMIT License of somebody"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r.identifiers, r.licences) for r in find_licences(rows).orderBy("doc_id").collect()]
+    assert got == [("H", ["MIT"]), ("..", []), ("..", []), ("...", []), ("..", [])]
+
+
+def test_other_texts_have_the_pieces_of_the_split(spark):
+    texts = ["a;;: b.. c\r\n\r\nd .\x01 e\x02. f!\tg:", "! ! !\n \n: a\n;\n", '"x." y (z). w', "." * 50_000 + "\n" * 50_000 + "; " * 50_000 + "end"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [len(r.identifiers) for r in find_licences(rows).orderBy("doc_id").collect()]
+    ends = re.compile(r"[.!?;:]+[ \t\r\n]+|[\r\n]+")
+    assert got[:3] == [sum(any(c.isalnum() for c in p) for p in ends.split(t)) for t in texts[:3]] and got[3] == 1
+
+
 def test_odd_rows(spark):
     documents = odd_documents(spark)
     rows = find_licences(documents).collect()
