@@ -1,6 +1,8 @@
 import hashlib
 import math
+import random
 import re
+import string
 from collections import Counter
 
 import pytest
@@ -73,6 +75,51 @@ def test_random_strings_are_found_and_the_allow_list_holds():
     assert kinds("token=q7Tz1Lr0Xw93KfPb82VnYcMd5Hs") == ["assign"]
 
 
+LETTERS = "qTzLrXwKfPbVnYcMdHsGjZeR"
+
+
+def test_the_allow_list_takes_out_parts_only():
+    for text in (
+        "services/t0a1b2c3/9f8e7d6c5b4a3f2e1d0c9b8a",
+        "api/v2/k3j9x0q2m7v5t1w8z4r6b2n0",
+        "example-q7Tz1Lr0Xw93KfPb82VnYcMd5Hs",
+        "q7Tz1Lr0Xw93KfPb82VnYcMd5Hs/sample_data",
+        "550e8400-e29b-41d4-a716-446655440000/q7Tz1Lr0Xw93KfPb82VnYcMd5Hs",
+        "q7Tz1-Lr0Xw93_KfPb82VnYcMd5Hs",
+        LETTERS,
+        "keys/" + LETTERS,
+    ):
+        assert kinds(f"see {text} there") == ["entropy"], text
+    [(_, start, end)] = spans_of("services/t0a1b2c3/9f8e7d6c5b4a3f2e1d0c9b8a", ALLOW)
+    assert (start, end) == (9, 42)  # both random parts, not the name before them
+
+
+def test_slugs_and_names_are_no_keys():
+    for text in (
+        "how-to-build-a-python3-web-scraper",
+        "2024-quarterly-budget-forecast-review",
+        "max_position_embeddings_2048",
+        "how-to-build-a-web-app-3f2a9c81d4e7",
+        "services/accounts/2024/quarterly_report_v2",
+        "NightlyBuildArtifactsUploaderFactory",
+        "2024-03-01/12-30-45/00012345678901234567",
+        "550e8400-e29b-41d4-a716-446655440000/readme",
+    ):
+        assert kinds(f"see {text} there") == [], text
+
+
+@pytest.mark.parametrize(
+    "alphabet, least",
+    [(string.ascii_letters + string.digits + "+/", 0.97), (string.ascii_letters + string.digits + "-_", 0.95)]
+    + [(string.ascii_letters, 0.94), (string.ascii_lowercase + string.digits, 0.88), ("0123456789abcdef", 0.98)],
+)
+@pytest.mark.parametrize("before", ["", "services/", "key-example-"])
+def test_random_keys_of_24_characters_are_found(alphabet, least, before):
+    rnd = random.Random(alphabet)
+    keys = ["".join(rnd.choices(alphabet, k=24)) for _ in range(1000)]
+    assert sum("entropy" in kinds(before + key) for key in keys) >= least * len(keys)
+
+
 def test_redaction_joins_overlaps():
     text = "a password=" + "0123456789abcdef" * 3 + " b"
     spans = spans_of(text, ALLOW)
