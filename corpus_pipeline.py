@@ -18,8 +18,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, on shingles of five words."""
-    return super_minhash.deduplicated(docs, size=5)
+    """One row of each group of near duplicates, on shingles of five words."""
+    return super_minhash.deduplicated_rows(docs, size=5)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

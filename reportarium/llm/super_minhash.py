@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reportarium.llm.common import staged, steps
+from reportarium.llm.common import ranked, staged, steps
 from reportarium.llm.shingles import mix, shingle_sets
 
 #: Two sets with 0.8 of their union in common agree in a band with probability 0.8 ** ROWS;
@@ -417,3 +417,33 @@ def deduplicated(documents: DataFrame, size: int, percent: int = PERCENT) -> Dat
     return rows.select(*documents.columns).unionByName(
         documents.filter(F.col("doc_id").isNull())
     )
+
+
+def deduplicated_rows(documents: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
+    """One row of each group of near rows, with all its columns, whatever ids repeat.
+
+    Rows of one id with different texts stand for themselves, so a text that is near no other
+    stays, as does one group's row under an id that another group has, too. Of a group, the
+    row with the smallest id stays. Rows equal in id and text are one; rows without an id all stay.
+    """
+    columns = documents.columns
+    named = documents.filter(F.col("doc_id").isNotNull())
+    times = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows"))
+    repeated = staged(times.filter("__rows > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return deduplicated(documents, size, percent)
+    several = named.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    rows = named.join(repeated, "doc_id", "left_anti").unionByName(several)
+    # Numbers in the order of the ids, written down since equal hashes have no order.
+    order = ["doc_id", F.xxhash64("text")]
+    numbered = ranked(rows.withColumn("__all", F.lit(0)), ["__all"], order, "__row")
+    numbered = staged(numbered.drop("__all"), "numbered")
+    found = near_duplicates(
+        numbered.select(F.col("__row").alias("doc_id"), "text"), size, percent
+    )
+    kept = found.filter("kept").select(F.col("doc_id").alias("__row"))
+    return (
+        numbered.join(kept, "__row", "left_semi")
+        .select(*columns)
+        .unionByName(documents.filter(F.col("doc_id").isNull()))
+    )

@@ -86,3 +86,18 @@ def test_odd_documents_pass_all_stages(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, "/root/testdata/sf0.001")
     assert empty.collect() == []
+
+
+def test_rows_of_one_id_that_are_not_near_all_stay(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(5, a, 1), (7, a, 2), (7, b, 3), (9, b, 4), (9, b, 5), (9, c + " more", 6), (11, c, 7), (13, "", 8)]
+    rows += [(13, "", 9), (13, None, 10), (None, a, 11), (None, a, 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, part int")
+    stage = dict(corpus_pipeline.STAGES)["MinHash near-dedup"]
+    got = stage(spark, docs, FOLDER)
+    assert got.schema == docs.schema
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert kept == sorted([(5, a), (7, b), (9, c + " more"), (13, ""), (13, None), (None, a), (None, a)], key=str)
+    odd = [(r.doc_id, r.text) for r in stage(spark, odd_documents(spark), FOLDER).collect()]
+    assert {(3, "one"), (3, "another text of id three")} <= set(odd)
+    assert [i for i, _ in odd].count(10) == 1 and 11 not in [i for i, _ in odd]
