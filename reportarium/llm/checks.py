@@ -129,6 +129,46 @@ FROM scored WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER w <= 5
 """
 
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), totals AS (
+    SELECT lang, sum(len(words))::HUGEINT AS n FROM worded GROUP BY lang
+), placed AS (
+    SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS start
+    FROM worded, range(1, 6) AS sizes(size)
+), counted AS (
+    SELECT lang, size, words[start:start + size - 1] AS phrase, count(*)::HUGEINT AS f
+    FROM placed GROUP BY ALL HAVING count(*) >= 100
+), inside AS (
+    SELECT DISTINCT lang, f, phrase[start:start + part - 1] AS phrase
+    FROM (SELECT *, unnest(range(1, size - part + 2)) AS start
+          FROM counted, range(2, 5) AS parts(part) WHERE part < size)
+), kept AS (
+    SELECT c.* FROM counted c ANTI JOIN inside i
+        ON i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.f >= 100 * c.f
+    WHERE c.size > 1
+), cut AS (
+    SELECT k.lang, k.phrase, k.f AS a, place, x.f AS l, y.f AS r, n, (1000 * k.f * n) // (x.f * y.f) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS place FROM kept) k
+    JOIN counted x ON x.lang = k.lang AND x.phrase = k.phrase[1:place]
+    JOIN counted y ON y.lang = k.lang AND y.phrase = k.phrase[place + 1:]
+    JOIN totals t ON t.lang = k.lang
+), worst AS (
+    SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, n, score FROM cut
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, place) = 1
+)
+SELECT lang, row_number() OVER w AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+       n::BIGINT AS n, score::BIGINT AS score
+FROM worst WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY row_number() OVER w <= 2000
+"""
+
 
 def sql() -> dict[str, str]:
     return {
@@ -136,4 +176,5 @@ def sql() -> dict[str, str]:
         "op4_super_minhash": NEAR_DUPLICATES,
         "op7_license_rules": license_sql(),
         "op9_exact_topk": EXACT_TOPK,
+        "op11_collocations": COLLOCATIONS,
     }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reportarium.llm import (
     byte_bpe,
     checks,
+    collocations,
     exact_topk,
     license_rules,
     packing,
@@ -184,6 +185,11 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2000 highest-scoring phrases of each language."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_tool_calls": op1_tool_calls,
@@ -196,6 +202,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_exact_topk": op9_exact_topk,
         "op10_token_files": op10_token_files,
+        "op11_collocations": op11_collocations,
     }
 
 
