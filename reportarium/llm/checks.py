@@ -169,6 +169,36 @@ FROM worst WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
 QUALIFY row_number() OVER w <= 2000
 """
 
+RANKED_SEARCH = r"""
+WITH worded AS (
+    SELECT doc_id, row_number() OVER () AS row_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), totals AS (
+    SELECT count(*) AS big_n, sum(len(terms))::BIGINT AS big_l FROM worded WHERE len(terms) > 0
+), occurring AS (
+    SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(terms) AS term FROM worded) GROUP BY ALL
+), weighed AS (
+    SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM occurring, totals GROUP BY term
+), wanted AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark WHERE item_id IS NOT NULL
+), scored AS (
+    SELECT item_id, doc_id, row_id, sum(w * ((1000000000 * tf)
+        // (1000 * tf + 8 * (100 - 90 + (90 * len(terms) * big_n) // big_l))))::BIGINT AS score
+    FROM wanted JOIN weighed USING (term) JOIN occurring USING (term) JOIN worded USING (row_id), totals
+    WHERE doc_id IS NOT NULL
+    GROUP BY item_id, doc_id, row_id
+)
+SELECT item_id, CAST(row_number() OVER w AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
 
 def sql() -> dict[str, str]:
     return {
@@ -177,4 +207,5 @@ def sql() -> dict[str, str]:
         "op7_license_rules": license_sql(),
         "op9_exact_topk": EXACT_TOPK,
         "op11_collocations": COLLOCATIONS,
+        "op13_best_position": RANKED_SEARCH,
     }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportarium.llm import (
+    best_position,
     byte_bpe,
     checks,
     collocations,
@@ -190,6 +191,12 @@ def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
 
+def op13_best_position(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 documents that match each benchmark item best."""
+    documents, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return best_position.ranked_search(documents, items, k=10)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_tool_calls": op1_tool_calls,
@@ -203,6 +210,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_exact_topk": op9_exact_topk,
         "op10_token_files": op10_token_files,
         "op11_collocations": op11_collocations,
+        "op13_best_position": op13_best_position,
     }
 
 
