@@ -83,7 +83,9 @@ FROM matched
 """
 
 
-NEAR_DUPLICATES = r"""
+def near_sql(size: int, more: str = "") -> str:
+    """Groups of documents by shingles of ``size`` words, with further columns."""
+    return rf"""
 WITH RECURSIVE worded AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                                 'abcdefghijklmnopqrstuvwxyz'),
@@ -91,8 +93,8 @@ WITH RECURSIVE worded AS (
     FROM documents
 ), shingled AS (
     SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
-        WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
-        ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))
+        WHEN len(words) < {size} THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - {size} + 2), lambda i: array_to_string(words[i:i + {size} - 1], ' '))
         END) AS shingle
     FROM worded
 ), sizes AS (
@@ -111,10 +113,11 @@ WITH RECURSIVE worded AS (
     UNION
     SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other
 )
-SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
+SELECT doc_id, n AS n_shingles, component_id{more}
 FROM sizes JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) USING (doc_id)
 """
 
+
 EXACT_TOPK = """
 WITH whole AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
@@ -203,9 +206,10 @@ QUALIFY row_number() OVER w <= 10
 def sql() -> dict[str, str]:
     return {
         "op1_tool_calls": TOOL_CALLS,
-        "op4_super_minhash": NEAR_DUPLICATES,
+        "op4_super_minhash": near_sql(4, ", doc_id = component_id AS kept"),
         "op7_license_rules": license_sql(),
         "op9_exact_topk": EXACT_TOPK,
         "op11_collocations": COLLOCATIONS,
+        "op12_partition_join": near_sql(5),
         "op13_best_position": RANKED_SEARCH,
     }

@@ -16,6 +16,7 @@ from reportarium.llm import (
     exact_topk,
     license_rules,
     packing,
+    partition_join,
     posting_lists,
     secret_scan,
     super_minhash,
@@ -191,6 +192,11 @@ def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
 
+def op12_partition_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with the group of documents that near ones reach, on shingles of five words."""
+    return partition_join.similar_groups(table(spark, folder, "documents"), size=5)
+
+
 def op13_best_position(spark: SparkSession, folder: str) -> DataFrame:
     """The 10 documents that match each benchmark item best."""
     documents, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -210,6 +216,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_exact_topk": op9_exact_topk,
         "op10_token_files": op10_token_files,
         "op11_collocations": op11_collocations,
+        "op12_partition_join": op12_partition_join,
         "op13_best_position": op13_best_position,
     }
 
