@@ -14,7 +14,8 @@ the fate of nearly all. What the others still need goes to their rarest subsets,
 neighbourhoods of unique ones where that is cheaper than a crowded subset.
 
 Sets that share an entry are compared with the entry's best connected one first, on their full
-sets. Only what is then still in different groups is compared pair by pair. Equal sets are one
+sets. What is then still outside that one's group meets others of the entry by the rarest
+elements in which both differ from it, so no group is expanded into its pairs. Equal sets are one
 throughout. Subsets and sets are known by 64-bit hashes; confirmations use full sets.
 
 Null or empty text, or one without words: an empty set, linked with nothing. Rows with one id are
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reportarium.llm.common import staged, steps
@@ -359,7 +360,6 @@ def _links(sets: DataFrame, probes: DataFrame, index: DataFrame, percent: int) -
     fits = (F.least("n", "__n") * 100 >= F.greatest("n", "__n") * percent) & (
         F.col("id") != F.col("__id")
     )
-    other = [F.col(c).alias(f"__{c}") for c in ("id", "n", "component")]
     links: list[DataFrame] = []
 
     def labels() -> DataFrame | None:
@@ -374,8 +374,11 @@ def _links(sets: DataFrame, probes: DataFrame, index: DataFrame, percent: int) -
         F.max_by(F.struct("id", "n"), F.struct("score", "id")).alias("best"),
         F.count(F.lit(1)).alias("sets"),
     )
-    best = best.filter("sets > 1").select(
-        "key", F.col("best.id").alias("__id"), F.col("best.n").alias("__n")
+    best = staged(
+        best.filter("sets > 1").select(
+            "key", F.col("best.id").alias("__id"), F.col("best.n").alias("__n")
+        ),
+        "best",
     )
     hubs = staged(
         entries.join(best, "key")
@@ -396,34 +399,72 @@ def _links(sets: DataFrame, probes: DataFrame, index: DataFrame, percent: int) -
         staged(_confirmed(left.select("a", F.col("id").alias("b")), sets, percent), "links")
     )
     grouping = labels()
-    # What is outside its entry's largest group, pair by pair.
-    groups = _labelled(entries.select("key", "id"), grouping).groupBy("key", "component").agg(
-        F.count(F.lit(1)).alias("rows")
+    # What is outside the group of its entry's best connected set.
+    placed = staged(_labelled(entries.select("key", "id", "n"), grouping), "placed")
+    hub = _labelled(best.select("key", F.col("__id").alias("id")), grouping)
+    hub = hub.select("key", F.col("id").alias("hub"), F.col("component").alias("__group"))
+    rows = placed.join(hub, "key").withColumn("outside", F.col("component") != F.col("__group"))
+    rows = staged(rows.select("key", "hub", "id", "n", "component", "outside"), "rows")
+    mixed = rows.filter("outside").select("key").distinct()
+    members = rows.join(mixed, "key", "left_semi").drop("key").distinct()
+    pairs = staged(_drifted(staged(members, "members"), sets, percent), "pairs")
+    links.append(staged(_confirmed(pairs, sets, percent), "links"))
+    return links
+
+
+def _drifted(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one hub that can be near, at least one of them outside its group.
+
+    Differences from the hub make up for the distance of two members: what the two differ in
+    is what only one of the differences holds. Near ones differ in at most H elements; a set
+    that is not near the hub differs from it in more. So the differences x and y of near
+    members must share o = (x + y - H) / 2 elements, which is never none, and then one among the
+    first x - o + 1 and y - o + 1, rarest first. Members that drifted apart meet few others.
+    """
+    own = sets.select("id", F.col("hashes").alias("__own"))
+    of_hub = sets.select(F.col("id").alias("hub"), F.col("hashes").alias("__hub"))
+    apart = F.concat(F.array_except("__own", "__hub"), F.array_except("__hub", "__own"))
+    # Several sets of one id are told apart by their hash.
+    columns = ["hub", "id", "n", "component", "outside", "whose"]
+    differing = staged(
+        members.join(own, "id")
+        .join(of_hub, "hub")
+        .filter(F.size("__own") == F.col("n"))
+        .withColumn("whose", F.xxhash64("__own"))
+        .select(*columns, apart.alias("apart"))
+        .select(*columns, F.size("apart").alias("d"), F.explode("apart").alias("element")),
+        "differing",
     )
-    most = groups.groupBy("key").agg(
-        F.max(F.struct("rows", "component")).alias("__most"), F.count(F.lit(1)).alias("groups")
+    held = differing.groupBy("hub", "element").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("outside").alias("__some")
     )
-    mixed = staged(
-        most.filter("groups > 1").select("key", F.col("__most.component").alias("__main")), "mixed"
+    rarest = Window.partitionBy("hub", "id", "whose").orderBy("rows", "element")
+    rows = staged(
+        differing.join(held, ["hub", "element"])
+        .withColumn("place", F.row_number().over(rarest))
+        .filter("rows > 1 AND __some")
+        .drop("rows", "__some"),
+        "rarest",
     )
-    sides = [
-        staged(_labelled(side.join(mixed, "key"), grouping), "sides") for side in (probes, index)
-    ]
-    outside = F.col("component") != F.col("__main")
-    pairs = None
-    for one, two in (sides, sides[::-1]):
-        found = (
-            one.filter(outside)
-            .select("key", "id", "n", "component")
-            .join(two.select("key", *other), "key")
-            .filter(fits & (F.col("component") != F.col("__component")))
-            .select(F.least("id", "__id").alias("a"), F.greatest("id", "__id").alias("b"))
+    names = ["id", "n", "component", "d", "place"]
+    other = rows.select("hub", "element", *[F.col(c).alias(f"__{c}") for c in names])
+    together = 100 + percent
+    least = F.expr(
+        f"greatest((d + __d - (n + __n) + 2 * (({percent} * (n + __n) + {together - 1}) div {together})"
+        " + 1) div 2, 1)"
+    )
+    return (
+        rows.filter("outside")
+        .join(other, ["hub", "element"])
+        .filter(
+            (F.col("component") != F.col("__component"))
+            & (F.least("n", "__n") * 100 >= F.greatest("n", "__n") * percent)
+            & (F.col("place") <= F.col("d") - least + 1)
+            & (F.col("__place") <= F.col("__d") - least + 1)
         )
-        pairs = found if pairs is None else pairs.unionByName(found)
-    tested = hubs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = staged(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-    links.append(staged(_confirmed(pairs, sets, percent), "links"))
-    return links
+        .select(F.least("id", "__id").alias("a"), F.greatest("id", "__id").alias("b"))
+        .distinct()
+    )
 
 
 def similar_groups(documents: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
