@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reportarium.llm.common import staged, steps
@@ -43,6 +43,8 @@ PERCENT = 80
 GROWTH, SPARE = 1.5, 8
 #: Rows that looking up one subset with an element left out is taken to cost.
 NEIGHBOUR = 4
+#: Size of the table of how often elements of differences occur: 8 MB to each task.
+TABLE_BITS = 20
 #: Bytes of text whose sets are held at once.
 TEXTS = 1 << 20
 _ELEMENT, _CHECK = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
@@ -424,28 +426,15 @@ def _drifted(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     own = sets.select("id", F.col("hashes").alias("__own"))
     of_hub = sets.select(F.col("id").alias("hub"), F.col("hashes").alias("__hub"))
     apart = F.concat(F.array_except("__own", "__hub"), F.array_except("__hub", "__own"))
-    # Several sets of one id are told apart by their hash.
-    columns = ["hub", "id", "n", "component", "outside", "whose"]
+    columns = ["hub", "id", "n", "component", "outside"]
     differing = staged(
         members.join(own, "id")
+        .filter(F.size("__own") == F.col("n"))  # several sets of one id
         .join(of_hub, "hub")
-        .filter(F.size("__own") == F.col("n"))
-        .withColumn("whose", F.xxhash64("__own"))
-        .select(*columns, apart.alias("apart"))
-        .select(*columns, F.size("apart").alias("d"), F.explode("apart").alias("element")),
+        .select(*columns, F.size("__hub").cast("long").alias("of"), apart.alias("apart")),
         "differing",
     )
-    held = differing.groupBy("hub", "element").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("outside").alias("__some")
-    )
-    rarest = Window.partitionBy("hub", "id", "whose").orderBy("rows", "element")
-    rows = staged(
-        differing.join(held, ["hub", "element"])
-        .withColumn("place", F.row_number().over(rarest))
-        .filter("rows > 1 AND __some")
-        .drop("rows", "__some"),
-        "rarest",
-    )
+    rows = staged(_rarest(differing, percent), "rarest")
     names = ["id", "n", "component", "d", "place"]
     other = rows.select("hub", "element", *[F.col(c).alias(f"__{c}") for c in names])
     together = 100 + percent
@@ -459,14 +448,78 @@ def _drifted(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .filter(
             (F.col("component") != F.col("__component"))
             & (F.least("n", "__n") * 100 >= F.greatest("n", "__n") * percent)
-            & (F.col("place") <= F.col("d") - least + 1)
-            & (F.col("__place") <= F.col("__d") - least + 1)
+            & (F.col("place") <= F.col("d") - least)
+            & (F.col("__place") <= F.col("__d") - least)
         )
         .select(F.least("id", "__id").alias("a"), F.greatest("id", "__id").alias("b"))
         .distinct()
     )
 
 
+def _slots(elements: np.ndarray) -> np.ndarray:
+    return (elements >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+
+def _table(differing: DataFrame) -> np.ndarray:
+    """How often elements of differences occur, by the first bits of their hash."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << TABLE_BITS, dtype=np.int64)
+        for batch in batches:
+            elements = batch.column("apart").flatten().to_numpy().view(np.uint64)
+            total += np.bincount(_slots(elements), minlength=len(total))
+        at = np.flatnonzero(total)
+        columns = [pa.array(at), pa.array(total[at])]
+        yield pa.RecordBatch.from_arrays(columns, names=["slot", "number"])
+
+    parts = differing.select("apart").mapInArrow(count, "slot long, number long")
+    found = parts.groupBy("slot").agg(F.sum("number").alias("number")).toArrow()
+    total = np.zeros(1 << TABLE_BITS, dtype=np.int64)
+    total[found.column("slot").to_numpy()] = found.column("number").to_numpy()
+    return total
+
+
+def _rarest(differing: DataFrame, percent: int) -> DataFrame:
+    """The first elements of each difference, rarest first, as far as any partner asks for."""
+    table = differing.sparkSession.sparkContext.broadcast(_table(differing))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("apart")
+            offsets = lists.offsets.to_numpy()
+            flat = lists.values.to_numpy()
+            n, of = batch.column("n").to_numpy(), batch.column("of").to_numpy()
+            d = np.diff(offsets).astype(np.int64)
+            # A partner's difference is as large but for the H elements between the two ...
+            most = n * (100 + 100 * 100 // percent) // 100 * (100 - percent) // (100 + percent) + 1
+            shared = np.maximum(d - most, 1)
+            # ... and with a partner outside, more than half of it is in common.
+            inside = ~batch.column("outside").to_numpy(zero_copy_only=False)
+            half = (d - np.abs(n - of) - 1) // 2
+            shared[inside] = np.maximum(shared, half)[inside]
+            rows, elements, places = [], [], []
+            for row, (a, b) in enumerate(zip(offsets, offsets[1:])):
+                own = flat[a:b]
+                number = table.value[_slots(own.view(np.uint64))]
+                order = np.lexsort((own, number))[: max(len(own) - int(shared[row]) + 1, 0)]
+                kept = np.flatnonzero(number[order] > 1)  # one of a kind meets nothing
+                rows.append(np.full(len(kept), row))
+                elements.append(own[order[kept]])
+                places.append(kept)
+            if not rows:
+                continue
+            at = pa.array(np.concatenate(rows))
+            columns = [batch.column(c).take(at) for c in ("hub", "id", "n", "component", "outside")]
+            columns += [pa.array(d).take(at), *(pa.array(np.concatenate(c)) for c in (elements, places))]
+            names = ["hub", "id", "n", "component", "outside", "d", "element", "place"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    schema = (
+        "hub long, id long, n long, component long, outside boolean, d long, element long, place long"
+    )
+    return differing.mapInArrow(first, schema)
+
+
 def similar_groups(documents: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id for every row of the documents."""
     bands = Bands(percent)
