@@ -1,14 +1,25 @@
-"""SQL statements out of query plans of any depth."""
+"""SQL statements out of query plans of any depth.
 
-from __future__ import annotations
+A body is parsed once, as a variant. Plans that hold their statements directly below the root,
+the usual case, are read in their own row. The others are taken apart level by level: every
+node of a level is exploded into its members, each with its path from the root, so that a plan of
+any width is spread over tasks and what is done leaves the frontier. Several levels go in one job;
+between jobs the narrow rows of the frontier are written down, which keeps the number of jobs at
+a ``LEVELS``-th of the depth of the deepest plan.
+
+Members of an object are visited in the order of their names, as a variant keeps them; elements
+of a list in their own. A body the variant parser does not take (no JSON, a name twice, more
+than some 1000 levels or 16 MB) gives one marker, whatever its size; without a body or a plan
+there is no list at all.
+"""
 
-import json
-import re
+from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reportarium.session import staged
+
 PAIRS = "array<struct<index: string, sql_query: string>>"
 
 # Texts written where a provider has no statement.
@@ -23,127 +34,172 @@ _FLAT_ONE = rf"^OBJECT<statement: {_PAIR}>$"
 _FLAT_LIST = rf"^OBJECT<statement: ARRAY<{_PAIR}>>$"
 _PAIR_TYPE = "struct<`@index`: string, `$`: string>"
 
+#: Mark behind a body, which shows that it was read to its end.
+END = "end of body"
+#: Levels taken apart in one job.
+LEVELS = 8
+#: Nodes: an object all of whose members are visited, a list, and a pair that was found.
+OBJECT, LIST, PAIR = "object", "list", "pair"
+#: Place of an object's own pair: behind its members.
+LAST = (1 << 31) - 1
+_NODE = "struct<path: array<int>, kind: string, node: variant, index: string, sql_query: string>"
+
+
+def _shape(value: Column) -> Column:
+    return F.schema_of_variant(value)
+
+
+def _own_pair(value: Column) -> tuple[Column, Column, Column]:
+    """Whether an object has an index and a statement of its own, and the two as texts."""
+    complete, texts = F.lit(True), []
+    for key in ("$['@index']", "$['$']"):
+        part = F.try_variant_get(value, key, "variant")
+        text = F.try_variant_get(value, key, "string")
+        scalar = ~F.coalesce(_shape(part).rlike("^(ARRAY|OBJECT)"), F.lit(True))
+        complete = complete & scalar & F.coalesce(text != "", F.lit(True))
+        texts.append(text)
+    return complete, texts[0], texts[1]
+
+
+def _node(path: Column, kind: str, node: Column) -> Column:
+    none = F.lit(None).cast("string")
+    return F.struct(
+        path.alias("path"), F.lit(kind).alias("kind"), node.alias("node"),
+        none.alias("index"), none.alias("sql_query"),
+    ).cast(_NODE)
+
+
+def _pair(path: Column, value: Column) -> Column:
+    """The own pair of an object, or null."""
+    complete, index, sql = _own_pair(value)
+    nothing = F.lit(None).cast("variant")
+    found = F.struct(
+        path.alias("path"), F.lit(PAIR).alias("kind"), nothing.alias("node"),
+        index.alias("index"), sql.alias("sql_query"),
+    ).cast(_NODE)
+    return F.when(complete, found)
+
 
-#: Brackets in a response up to which the JVM reads it: so its nesting is bounded too.
-BRACKETS = 400
-
-
-def _walker():
-    """Pandas UDF over response bodies. All it needs is nested here, so tasks receive it whole."""
-    token = re.compile(r'\s*(?:([{}\[\]:,])|("(?:[^"\\]|\\.)*")|([^\s{}\[\]:,"]+))', re.S)
-
-    def decoded(text):
-        """JSON of any depth; the library's own reader gives up on deep texts."""
-        try:
-            return json.loads(text)
-        except RecursionError:
-            pass
-        top, at, name = [], 0, None
-        stack = [top]
-        text = text.strip()
-        while at < len(text):
-            found = token.match(text, at)
-            if found is None:
-                raise ValueError("no JSON")
-            at = found.end()
-            sign, string, scalar = found.groups()
-            here = stack[-1]
-            if sign in ("}", "]"):
-                stack.pop()
-                continue
-            if sign in (":", ","):
-                continue
-            if string is not None and isinstance(here, dict) and name is None:
-                name = json.loads(string)
-                continue
-            value = {} if sign == "{" else [] if sign == "[" else json.loads(string or scalar)
-            if isinstance(here, dict):
-                here[name], name = value, None
-            else:
-                here.append(value)
-            if sign:
-                stack.append(value)
-        if len(stack) != 1 or len(top) != 1:
-            raise ValueError("no JSON")
-        return top[0]
-
-    def statements(plan):
-        """Pairs below each node, then its own.
-
-        Members of an object are all visited. Inside a list an object stands for its
-        ``statement`` where it has one, and otherwise only for its own pair.
-        """
-        todo = [(plan, False)]  # a node, and whether only its own pair is left to give
-        while todo:
-            node, alone = todo.pop()
-            if isinstance(node, list):
-                inside = [item.get("statement") or item for item in node if isinstance(item, dict)]
-                todo += [(item, True) for item in reversed(inside)]
-            elif isinstance(node, dict) and not alone:
-                todo.append((node, True))
-                todo += [(member, False) for member in reversed(node.values())]
-            elif isinstance(node, dict):
-                index, sql = node.get("@index", ""), node.get("$", "")
-                scalar = not isinstance(index, (dict, list)) and not isinstance(sql, (dict, list))
-                if scalar and index != "" and sql != "":
-                    yield index, sql
-
-    def pairs(text):
-        try:
-            plan = decoded(text)["queryplan"]
-        except (ValueError, KeyError, TypeError):
-            return [{"index": "0", "sql_query": UNREADABLE}]
-        found = statements(plan) if isinstance(plan, dict) else ()
-        return [
-            {"index": None if i is None else str(i), "sql_query": None if q is None else str(q)}
-            for i, q in found
-        ]
-
-    @F.pandas_udf(PAIRS)
-    def walk(bodies: pd.Series) -> pd.Series:
-        return bodies.map(pairs)
-
-    return walk
+def _visited(path: Column, value: Column) -> Column:
+    """An object to visit and, behind it, its own pair."""
+    own = F.array_append(path, F.lit(LAST))
+    return F.array_compact(F.array(_node(path, OBJECT, value), _pair(own, value)))
+
+
+def _next_level(nodes: DataFrame) -> DataFrame:
+    """Rows (id, n) with every open node replaced by what its members are to the walk.
+
+    Members of an object are visited if they are objects, and gone through if they are lists. In
+    a list, an object stands for its ``statement`` where that is not empty (a list is gone
+    through, an object gives its own pair), and otherwise only for its own pair.
+    """
+    opened = F.when(F.col("n.kind") != PAIR, F.col("n.node"))
+    members = nodes.withColumn("__open", opened)
+    members = members.lateralJoin(
+        members.sparkSession.tvf.variant_explode_outer(F.col("__open").outer())
+    )
+    # Shapes are looked up once per member, in steps of their own.
+    members = members.select(
+        "id", "n", "value", F.array_append("n.path", F.col("pos")).alias("__path"),
+        _shape(F.col("value")).alias("__shape"),
+        F.when(F.col("n.kind") == LIST, F.try_variant_get("value", "$.statement", "variant")).alias("__statement"),
+    ).withColumn("__inner", _shape(F.col("__statement")))
+    value, path, statement = F.col("value"), F.col("__path"), F.col("__statement")
+    is_object, is_list = (F.startswith("__shape", F.lit(s)) for s in ("OBJECT", "ARRAY"))
+    inner_object, inner_list = (F.startswith("__inner", F.lit(s)) for s in ("OBJECT", "ARRAY"))
+    text = F.try_variant_get(statement, "$", "string")
+    empty = (
+        F.when(statement.isNull() | F.col("__inner").isin("VOID", "OBJECT<>"), True)
+        .when(inner_list, F.try_variant_get(statement, "$[0]", "variant").isNull())
+        .otherwise(~inner_object & text.isin("", "0", "false"))
+    )
+    instead = F.when(inner_list, F.array(_node(path, LIST, statement))).when(
+        inner_object, F.array_compact(F.array(_pair(path, statement)))
+    )
+    following = (
+        F.when(F.col("n.kind") == PAIR, F.array("n"))
+        .when((F.col("n.kind") == OBJECT) & is_object, _visited(path, value))
+        .when((F.col("n.kind") == OBJECT) & is_list, F.array(_node(path, LIST, value)))
+        .when((F.col("n.kind") == LIST) & is_object & empty, F.array_compact(F.array(_pair(path, value))))
+        .when((F.col("n.kind") == LIST) & is_object, instead)
+    )
+    return members.select("id", F.explode(following).alias("n"))
+
+
+def _walked(plans: DataFrame) -> DataFrame:
+    """id and statements of plans (id, plan) that are objects, in the order of the walk."""
+    root = F.array().cast("array<int>")
+    frontier = plans.select("id", F.explode(_visited(root, F.col("plan"))).alias("n"))
+    found = None
+    while True:
+        for _ in range(LEVELS):
+            frontier = _next_level(frontier)
+        level = staged(frontier, "plan-nodes")
+        pairs = level.filter(F.col("n.kind") == PAIR).select("id", "n.path", "n.index", "n.sql_query")
+        found = pairs if found is None else found.unionByName(pairs)
+        frontier = level.filter(F.col("n.kind") != PAIR)
+        if frontier.isEmpty():
+            break
+    ordered = F.array_sort(F.collect_list(F.struct("path", "index", "sql_query")))
+    strip = F.transform(ordered, lambda p: F.struct(p["index"].alias("index"), p["sql_query"].alias("sql_query")))
+    return found.groupBy("id").agg(strip.alias("statements"))
 
 
 def with_statements(df: DataFrame, body: str, name: str = "statements") -> DataFrame:
-    """Add the (index, sql_query) pairs of the plan in response ``body``; null for an empty plan.
+    """The other columns and the (index, sql_query) pairs of the plan in response ``body``.
 
-    Plans with their statements directly below the root, the usual case, are read by
-    built-in variant functions. Others, and bodies with so many brackets that they may be
-    deep, go to Python in a branch of their own, which walks any depth. A body that is no
-    JSON gives one marker.
+    Null for an empty plan; one marker for a body that cannot be read.
     """
-    kept = df.columns
-    text = F.col(body)
-    brackets = F.char_length(text) - F.char_length(F.translate(text, "{[", ""))
-    shallow = F.when(brackets <= BRACKETS, text)
-    plan = F.get_json_object(shallow, "$.queryplan")
-    filled = plan.isNotNull() & ~plan.isin("{}", "[]", "")
-    one = F.array(F.try_variant_get("__variant", "$.statement", _PAIR_TYPE))
-    many = F.try_variant_get("__variant", "$.statement", f"array<{_PAIR_TYPE}>")
+    kept = [c for c in df.columns if c != body]
+    # The parser stops where a value ends; a mark behind it shows that nothing else follows.
+    closed = F.concat(F.lit("["), F.col(body), F.lit(f',"{END}"]'))
+    parsed = df.select(
+        *kept, F.col(body).isNotNull().alias("__given"), F.try_parse_json(closed).alias("__marked")
+    )
+    whole = F.coalesce(F.try_variant_get("__marked", "$[1]", "string") == END, F.lit(False))
+    planned = parsed.withColumns(
+        {"__whole": whole, "__plan": F.try_variant_get("__marked", "$[0].queryplan", "variant")}
+    ).withColumn("__shape", _shape(F.col("__plan")))
+    plan, shape = F.col("__plan"), F.col("__shape")
+    nothing = (
+        F.when(shape.isNull() | shape.isin("VOID", "OBJECT<>"), True)
+        .when(shape.startswith("ARRAY"), F.try_variant_get(plan, "$[0]", "variant").isNull())
+        .when(shape == "STRING", F.try_variant_get(plan, "$", "string") == "")
+        .otherwise(False)
+    )
+    one = F.array(F.try_variant_get(plan, "$.statement", _PAIR_TYPE))
+    many = F.try_variant_get(plan, "$.statement", f"array<{_PAIR_TYPE}>")
     named = lambda p: F.struct(
         p["@index"].alias("index"), p["$"].alias("sql_query")
     )
     complete = lambda p: (p["index"] != "") & (p["sql_query"] != "")
-    is_one, is_many = F.col("__shape").rlike(_FLAT_ONE), F.col("__shape").rlike(_FLAT_LIST)
+    is_one, is_many = shape.rlike(_FLAT_ONE), shape.rlike(_FLAT_LIST)
     flat = F.filter(F.transform(F.when(is_one, one).when(is_many, many), named), complete)
-    marked = (
-        df.withColumn("__filled", F.coalesce(filled, F.lit(False)))
-        .withColumn("__deep", F.coalesce(brackets > BRACKETS, F.lit(False)))
-        .withColumn("__variant", F.when(F.col("__filled"), F.try_parse_json(plan)))
-        .withColumn("__shape", F.schema_of_variant("__variant"))
-        .withColumn(
-            "__walk", F.col("__deep") | F.col("__filled") & ~F.coalesce(is_one | is_many, F.lit(False))
-        )
-    )
-    unread = text.isNotNull() & ~F.col("__filled") & F.try_parse_json(shallow).isNull()
     marker = F.array(F.struct(F.lit("0").alias("index"), F.lit(UNREADABLE).alias("sql_query")))
-    read = marked.filter("not __walk").select(
-        *kept, F.when(unread, marker).otherwise(flat).cast(PAIRS).alias(name)
+    nested = F.col("__whole") & shape.startswith("OBJECT") & ~nothing & ~is_one & ~is_many
+    read = (
+        F.when(F.col("__given") & ~F.col("__whole"), marker.cast(PAIRS))
+        .when(nothing, F.lit(None).cast(PAIRS))
+        .when(is_one | is_many, flat.cast(PAIRS))
+        .otherwise(F.array().cast(PAIRS))
+    )
+    plans = staged(
+        planned.select(
+            *kept,
+            F.monotonically_increasing_id().alias("__id"),
+            read.alias("__read"),
+            F.when(nested, plan).alias("__nested"),
+        ),
+        "plans",
+    )
+    deep = plans.filter(F.col("__nested").isNotNull())
+    if deep.isEmpty():
+        return plans.select(*kept, F.col("__read").alias(name))
+    walked = _walked(deep.select(F.col("__id").alias("id"), F.col("__nested").alias("plan")))
+    walked = walked.select(F.col("id").alias("__id"), F.col("statements").alias("__walked"))
+    return plans.join(walked, "__id", "left").select(
+        *kept, F.coalesce("__walked", "__read").cast(PAIRS).alias(name)
     )
-    walked = marked.filter("__walk").select(*kept)
-    return read.unionByName(walked.withColumn(name, _walker()(F.col(body))))
 
 
 def property_value(properties: Column, key: str) -> Column:

@@ -3,15 +3,17 @@
 import json
 import random
 
+from reportarium.operators import queryplan
 from reportarium.operators.queryplan import UNREADABLE, with_statements
+from reportarium.session import staged
 
 
 def rule(plan):
-    """Pairs of a plan: children first; in lists a ``statement`` replaces its object."""
+    """Pairs of a plan: children first, by name; in lists a ``statement`` replaces its object."""
     if not isinstance(plan, dict):
         return []
     found = []
-    for value in plan.values():
+    for _, value in sorted(plan.items()):
         if isinstance(value, dict):
             found += rule(value)
         if isinstance(value, list):
@@ -112,10 +114,22 @@ def deep(levels):
 
 
 def test_deep_plans_in_one_session(spark):
-    bodies = [f'{{"queryplan": {deep(n)}}}' for n in (40, 390, 990, 5000, 60_000)]
+    bodies = [f'{{"queryplan": {deep(n)}}}' for n in (3, 7, 8, 40, 390)]
     assert statements(spark, bodies) == [[("9", "deep")]] * len(bodies)
-    broken = bodies[3][:-3]
-    assert statements(spark, [broken]) == [[("0", UNREADABLE)]]
+
+
+def test_what_the_parser_does_not_take_gives_the_marker_at_every_size(spark):
+    bodies = []
+    for levels in (5, 5000, 60_000):
+        whole = f'{{"queryplan": {deep(levels)}}}'
+        bodies += [whole[:-3], whole.replace("}]}", "]}}", 1), whole.replace('9, "$"', '9 "$"'), whole + "x"]
+    bodies += [f'{{"queryplan": {deep(n)}}}' for n in (5000, 60_000)]
+    assert statements(spark, bodies) == [[("0", UNREADABLE)]] * len(bodies)
+
+
+def test_repeated_bodies_keep_their_statements_apart(spark):
+    plan = {"union": {"statement": [{"@index": "1", "$": "A"}, {"@index": "2", "$": "B"}]}}
+    assert statements(spark, [json.dumps({"queryplan": plan})] * 3 + [None]) == [[("1", "A"), ("2", "B")]] * 3 + [None]
 
 
 def test_wide_plans_are_no_deep_ones(spark):
@@ -125,8 +139,12 @@ def test_wide_plans_are_no_deep_ones(spark):
     ]
 
 
-def test_python_stands_above_a_filter(spark):
-    df = spark.createDataFrame([(1, "{}")], "id int, body string")
-    plan = with_statements(df, "body")._jdf.queryExecution().executedPlan().toString()
-    below = plan[plan.index("ArrowEvalPython") :]
-    assert "Filter" in below.splitlines()[1] + below.splitlines()[2]
+def test_a_body_is_parsed_once_and_by_no_python(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(
+        queryplan, "staged", lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()), staged(df, name))[1]
+    )
+    body = json.dumps({"queryplan": {"a": {"b": [{"@index": "1", "$": "A"}]}}})
+    assert statements(spark, [body]) == [[("1", "A")]]
+    assert [p.count(f',"{queryplan.END}"]') for p in plans] == [1, 0]
+    assert len(plans) == 2 and not any("Python" in p or "Arrow" in p for p in plans)
