@@ -20,30 +20,97 @@ def sample_text(text: Column, lines: int = SAMPLE_LINES) -> Column:
     return F.replace(head_lines(text, lines), F.lit("\t"), F.lit(";"))
 
 
-def cells(line: Column) -> Column:
-    """Cells of a line: parted by tabs, without the quotes around quoted ones."""
-    found = F.regexp_extract_all(
-        F.concat(F.lit("\t"), line), F.lit('\t("(?:[^"]|"")*"[^\t]*|[^\t]*)'), F.lit(1)
+#: What a separated piece does: it opens a quoted cell, or would close one that is open.
+_OPENS, _CLOSES, _PLAIN = "o", "c", "n"
+#: Cells over these signs: a quoted one lasts until a piece closes it, or to the end.
+_CELL_RUN = f"{_OPENS}{_PLAIN}*[{_OPENS}{_CLOSES}]?|[{_CLOSES}{_PLAIN}]"
+
+
+def _has_closing(piece: Column) -> Column:
+    """Whether a quote is left when doubled ones are taken out."""
+    return F.contains(F.replace(piece, F.lit('""'), F.lit("")), F.lit('"'))
+
+
+def _sign(piece: Column) -> Column:
+    """A quote opens a cell only at its beginning, and closes one that is open unless doubled."""
+    own = F.substring(piece, 2, 1 << 30)
+    rest = F.substring(piece, 3, 1 << 30)
+    opens = F.startswith(own, F.lit('"')) & ~_has_closing(rest)
+    return F.when(opens, _OPENS).when(_has_closing(own), _CLOSES).otherwise(_PLAIN)
+
+
+def unquoted(cell: Column) -> Column:
+    """A cell without the quotes around it; what follows the closing quote stays as it is."""
+    parts = F.split(F.substring(cell, 2, 1 << 30), '""')
+    holding = F.array_position(F.transform(parts, lambda p: F.contains(p, F.lit('"'))), True)
+    last = F.get(parts, (holding - 1).cast("int"))
+    inside = F.substring_index(last, '"', 1)
+    behind = F.substring(last, F.char_length(inside) + 2, F.lit(1 << 30))
+    closed = F.concat(
+        F.array_join(F.array_append(F.slice(parts, 1, (holding - 1).cast("int")), inside), '"'),
+        F.array_join(
+            F.array_prepend(F.slice(parts, (holding + 1).cast("int"), F.size(parts)), behind), '""'
+        ),
+    )
+    return (
+        F.when(~F.startswith(cell, F.lit('"')), cell)
+        .when(holding == 0, F.array_join(parts, '"'))
+        .otherwise(closed)
     )
-    quoted = r'^"((?:[^"]|"")*)"([^\t]*)$'
 
-    def plain(cell: Column) -> Column:
-        inner = F.replace(F.regexp_extract(cell, quoted, 1), F.lit('""'), F.lit('"'))
-        return F.when(cell.rlike(quoted), F.concat(inner, F.regexp_extract(cell, quoted, 2))).otherwise(cell)
 
-    return F.transform(found, plain)
+def with_records(df: DataFrame, text: str, name: str) -> DataFrame:
+    """The other columns and the records of a tab-separated text: arrays of raw cells.
+
+    Cells are parted by tabs and records by line ends outside quotes. Everything is linear in the
+    text: it is split once at each tab and line end, every piece gets a sign for what its quotes
+    do, and one look over the string of signs tells which pieces make up a cell.
+    """
+    kept = [c for c in df.columns if c != text]
+    pieces = F.regexp_extract_all(F.concat(F.lit("\n"), F.col(text)), F.lit("[\t\n][^\t\n]*"), F.lit(0))
+    signs = F.array_join(F.transform("__pieces", _sign), "")
+    runs = F.transform(F.regexp_extract_all("__signs", F.lit(_CELL_RUN), F.lit(0)), F.char_length)
+    begins = F.flatten(
+        F.transform("__runs", lambda n: F.concat(F.array(F.lit(True)), F.array_repeat(F.lit(False), n - 1)))
+    )
+    starts = F.filter(
+        F.transform("__begins", lambda first, at: F.when(first, at + 1)), lambda at: at.isNotNull()
+    )
+    cells = F.transform(
+        F.arrays_zip(F.col("__starts").alias("at"), F.col("__runs").alias("n")),
+        lambda run: F.array_join(F.slice("__pieces", run["at"], run["n"]), ""),
+    )
+    lines = F.filter(
+        F.transform("__cells", lambda c, at: F.when(F.startswith(c, F.lit("\n")), at + 1)),
+        lambda at: at.isNotNull(),
+    )
+    records = F.transform(
+        "__lines",
+        lambda at, place: F.transform(
+            F.slice("__cells", at, F.coalesce(F.get("__lines", place + 1), F.size("__cells") + 1) - at),
+            lambda c: F.substring(c, 2, 1 << 30),
+        ),
+    )
+    steps = {"__pieces": pieces, "__signs": signs, "__runs": runs, "__begins": begins}
+    steps |= {"__starts": starts, "__cells": cells, "__lines": lines}
+    for step, made in steps.items():
+        df = df.withColumn(step, made)
+    return df.select(*kept, records.alias(name))
 
 
 def with_column_sample(df: DataFrame, text: str, samples: int = SAMPLE_LINES) -> DataFrame:
     """Add ``columns``: header and first values of a tab-separated text; or ``sample_text``.
 
-    Cells may be quoted, and then hold tabs and doubled quotes. Blank lines are not rows. Missing cells are null, surplus cells are dropped, of two
-    equal headers the later column counts. A text with one column has no ``columns`` but
+    Cells may be quoted, and then hold tabs, line ends and doubled quotes; a quote within a cell
+    stands for itself. Blank lines are not rows. Missing cells are null, surplus cells are dropped,
+    of two equal headers the later column counts. A text with one column has no ``columns`` but
     the plain sample; one without data rows has an empty ``columns``.
     """
-    below = F.filter("__lines", lambda line, place: (place > 0) & (line != ""))
-    rows = F.transform(F.slice(below, 1, samples), cells)
-    header = cells(F.get("__lines", F.lit(0)))
+    kept = df.columns
+    recorded = with_records(df.withColumn("__text", F.col(text)), "__text", "__records")
+    below = F.filter("__records", lambda r, place: (place > 0) & ~((F.size(r) == 1) & (r[0] == "")))
+    rows = F.transform(F.slice(below, 1, samples), lambda r: F.transform(r, unquoted))
+    header = F.transform(F.get("__records", F.lit(0)), unquoted)
     places = F.array_sort(
         F.transform(header, lambda name, place: F.struct(name.alias("name"), place.alias("place")))
     )
@@ -64,9 +131,7 @@ def with_column_sample(df: DataFrame, text: str, samples: int = SAMPLE_LINES) ->
     )
     single = F.size(ordered) == 1
     none = F.array().cast("array<struct<name: string, values: array<string>>>")
-    kept = df.columns
-    lined = df.select(*kept, lines_of(F.col(text)).alias("__lines"))
-    return lined.select(*kept, rows.alias("__rows"), places.alias("__places")).select(
+    return recorded.select(*kept, rows.alias("__rows"), places.alias("__places")).select(
         *kept,
         F.when(F.size("__rows") == 0, none).when(~single, columns).alias("columns"),
         F.when((F.size("__rows") > 0) & single, sample_text(F.col(text), samples)).alias(

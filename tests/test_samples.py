@@ -1,12 +1,21 @@
 """Samples and blocks against plain statements of their rules."""
 
+import csv
+import io
 import random
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from reportarium.operators.samples import explode_blocks, sample_text, with_column_sample
+from reportarium.operators.samples import (
+    explode_blocks,
+    sample_text,
+    unquoted,
+    with_column_sample,
+    with_records,
+)
 from reportarium.plans.exports import output_blocks
 from reportarium.sources.exports import locate, read_outputs
 from reportarium.workload.roles import Tables, outputs
@@ -149,6 +158,43 @@ def test_column_sample_cases(spark):
     assert columns("many")[0] == ("a", [str(i) for i in range(15)])
 
 
+def records(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    plain = F.transform("records", lambda r: F.struct((F.array_join(r, "") == "").alias("bare"), F.transform(r, unquoted).alias("cells")))
+    rows = with_records(df, "text", "records").select("n", plain.alias("records")).collect()
+    found = {r.n: [x.cells for x in r.records if not (x.bare and len(x.cells) == 1)] for r in rows}
+    return [found[n] for n in range(len(texts))]
+
+
+def rule_records(text):
+    csv.field_size_limit(sys.maxsize)
+    return [r for r in csv.reader(io.StringIO(text), delimiter="\t") if r]
+
+
+def test_cells_equal_those_of_a_reader_of_separated_values(spark):
+    rng = random.Random(3)
+    texts = ['a"b\tc', '"a\tb"\tc', '"a""b"c"d\te', '"open\tto the\nend', '""\t""""\t"""', '"x"\n"y"']
+    texts += ["".join(rng.choices('a"\t\n', [3, 4, 2, 1], k=rng.randrange(0, 14))) for _ in range(1500)]
+    for text, got in zip(texts, records(spark, texts)):
+        assert got == rule_records(text), repr(text)
+
+
+def test_long_cells_and_many_cells(spark):
+    long = "x" * 1_000_000
+    texts = [
+        f'h1\th2\n"{long}"\tb\n',
+        'h1\th2\n"' + '""' * 300_000 + '"\tb\n',
+        'h1\th2\n"' + "a\t" * 200_000 + '"\tb\n',
+        "h\t" * 100_000 + "\n" + '"a"\t' * 100_000,
+        '"' + "\n" * 100_000,
+    ]
+    for text, got in zip(texts, records(spark, texts)):
+        assert got == rule_records(text)
+    df = spark.createDataFrame([(texts[0],)], "text string")
+    (row,) = with_column_sample(df, "text").collect()
+    assert [(c.name, c["values"]) for c in row.columns] == [("h1", [long]), ("h2", ["b"])]
+
+
 def test_output_files_are_read_whole(spark, folder):
     with open(f"{folder}/Output_17.csv", "w", newline="") as f:
         f.write("Sales;x\r\na\tb\r\n1\t2\r\n")
