@@ -68,7 +68,9 @@ def with_records(df: DataFrame, text: str, name: str) -> DataFrame:
     """
     kept = [c for c in df.columns if c != text]
     pieces = F.regexp_extract_all(F.concat(F.lit("\n"), F.col(text)), F.lit("[\t\n][^\t\n]*"), F.lit(0))
-    signs = F.array_join(F.transform("__pieces", _sign), "")
+    # Without any quote every piece is a cell, and the steps below are null.
+    quoted = F.contains(F.col(text), F.lit('"'))
+    signs = F.when(quoted, F.array_join(F.transform("__pieces", _sign), ""))
     runs = F.transform(F.regexp_extract_all("__signs", F.lit(_CELL_RUN), F.lit(0)), F.char_length)
     begins = F.flatten(
         F.transform("__runs", lambda n: F.concat(F.array(F.lit(True)), F.array_repeat(F.lit(False), n - 1)))
@@ -80,6 +82,7 @@ def with_records(df: DataFrame, text: str, name: str) -> DataFrame:
         F.arrays_zip(F.col("__starts").alias("at"), F.col("__runs").alias("n")),
         lambda run: F.array_join(F.slice("__pieces", run["at"], run["n"]), ""),
     )
+    cells = F.coalesce(cells, "__pieces")
     lines = F.filter(
         F.transform("__cells", lambda c, at: F.when(F.startswith(c, F.lit("\n")), at + 1)),
         lambda at: at.isNotNull(),

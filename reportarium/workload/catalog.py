@@ -23,6 +23,7 @@ from reportarium.schemas import DOMAIN_ANSWER
 from reportarium.session import scratch_dir
 from reportarium.sources.documents import read_texts
 from reportarium.sources.exports import read_outputs
+from reportarium.sources.output_files import read_heads, write_outputs
 from reportarium.sources.sinks import (
     append_json_lines,
     document_json,
@@ -405,21 +406,28 @@ def field_dictionary(t: Tables) -> DataFrame:
     return found.withColumn("variables", F.array_join(F.array_sort("variables"), ";"))
 
 
+def _output_heads(t: Tables, texts: DataFrame) -> DataFrame:
+    """Heads of outputs (document_id, text), written as one file each."""
+    folder = scratch_dir(t.spark, "outputs")
+    name = F.concat(F.lit("WEBI_"), "document_id", F.lit(".csv")).alias("name")
+    write_outputs(texts.select(name, "text"), folder)
+    return read_heads(t.spark, folder)
+
+
 def output_sample_text(t: Tables) -> DataFrame:
-    return exports.text_samples(roles.outputs(t))
+    return exports.text_samples(_output_heads(t, roles.outputs(t)))
 
 
 def output_sample_files(t: Tables) -> DataFrame:
     """Samples of text files: one file per benchmark item, read back as whole texts."""
     folder = scratch_dir(t.spark, "outputs")
-    t.benchmark.select("item_id", "text").write.partitionBy("item_id").text(folder)
-    item = F.regexp_extract("file_path", r"item_id=(\d+)", 1)
-    files = read_outputs(t.spark, folder).withColumn("document_id", item)
-    return exports.text_samples(files)
+    items = t.benchmark.select(F.concat(F.lit("Item_"), "item_id").alias("name"), "text")
+    write_outputs(items, folder)
+    return exports.text_samples(read_outputs(t.spark, f"{folder}/batch-*/task-*/*"))
 
 
 def output_sample_columns(t: Tables) -> DataFrame:
-    sampled = exports.column_samples(roles.outputs(t, tabs=True))
+    sampled = exports.column_samples(_output_heads(t, roles.outputs(t, tabs=True)))
     cells = sampled.select("document_id", "sample_text", F.explode_outer("columns").alias("c"))
     return cells.select(
         "document_id",
