@@ -143,32 +143,137 @@ def with_column_sample(df: DataFrame, text: str, samples: int = SAMPLE_LINES) ->
     )
 
 
-def _state(skip, titled, title, rows, found) -> Column:
-    return F.struct(
-        skip.alias("skip"),
-        titled.alias("titled"),
-        title.alias("title"),
-        rows.alias("rows"),
-        found.alias("found"),
+#: What a line is: a table row, blank, long enough for a title, or something else.
+_ROW, _BLANK, _LONG, _SHORT = "r", "b", "t", "s"
+_OTHER = f"[{_BLANK}{_LONG}{_SHORT}]"
+
+
+def _with_steps(df: DataFrame, steps: dict[str, Column]) -> DataFrame:
+    for name, column in steps.items():
+        df = df.withColumn(name, column)
+    return df
+
+
+def _places(begins) -> Column:
+    """Places of the lines for which ``begins`` holds."""
+    return F.filter(F.sequence(F.lit(0), F.size("__signs") - 1), begins)
+
+
+def _sign_at(place: Column) -> Column:
+    return F.coalesce(F.get("__signs", place), F.lit(_BLANK))
+
+
+def _first_title(start: Column, signs: Column) -> Column:
+    """The first line long enough for a title, of lines from ``start`` on with these signs."""
+    at = F.array_position(signs, _LONG).cast("int")
+    return F.when(at > 0, F.get("__lines", start + at - 1))
+
+
+def _runs(df: DataFrame, rows: int) -> DataFrame:
+    """``__blocks`` of the table rows that follow one another: title, or null, and first rows."""
+    first = _places(lambda i: (_sign_at(i) == _ROW) & (_sign_at(i - 1) != _ROW))
+    last = _places(lambda i: (_sign_at(i) == _ROW) & (_sign_at(i + 1) != _ROW))
+
+    def block(start: Column, number: Column) -> Column:
+        after = F.when(number > 0, F.get("__last", number - 1) + 1).otherwise(0)
+        gap = F.slice("__signs", after + 1, start - after)
+        # Behind a block, lines up to the next blank one are no titles.
+        blank = F.array_position(gap, _BLANK).cast("int")
+        skipped = F.when(number == 0, 0).when(blank == 0, F.size(gap)).otherwise(blank)
+        title = _first_title(after + skipped, F.slice(gap, skipped + 1, F.size(gap)))
+        kept = F.least(F.lit(rows), F.get("__last", number) - start + 1)
+        return F.struct(title.alias("title"), F.slice("__lines", start + 1, kept).alias("rows"))
+
+    steps = {"__first": first, "__last": last, "__blocks": F.transform("__first", block)}
+    return _with_steps(df, steps)
+
+
+def _older_runs(df: DataFrame, rows: int) -> DataFrame:
+    """``__blocks`` as the older scan finds them: lines before one, the block, what it skips."""
+    # Possessive: no two ways to match, so the signs are looked through once.
+    pattern = (
+        f"({_OTHER}*+)({_ROW}{{1,{rows}}}+)[{_ROW}{_BLANK}{_LONG}{_SHORT}]"
+        f"[{_ROW}{_LONG}{_SHORT}]*+(?:{_BLANK}|$)|{_OTHER}*+{_ROW}{{0,{rows}}}+$"
+    )
+
+    def lengths(group: int) -> Column:
+        return F.transform(
+            F.regexp_extract_all(F.array_join("__signs", ""), F.lit(pattern), F.lit(group)),
+            F.char_length,
+        )
+
+    # The number of its part for each line, to find where parts begin.
+    owner = F.flatten(F.transform("__whole", lambda n, part: F.array_repeat(part, n)))
+    begins = _places(
+        lambda i: (i == 0) | (F.get("__owner", i) != F.get("__owner", i - 1))
     )
+    parts = F.arrays_zip(
+        F.col("__begins").alias("start"), F.col("__gaps").alias("gap"), F.col("__taken").alias("taken")
+    )
+
+    def block(part: Column) -> Column:
+        return F.struct(
+            _first_title(part["start"], F.slice("__signs", part["start"] + 1, part["gap"])).alias("title"),
+            F.slice("__lines", part["start"] + part["gap"] + 1, part["taken"]).alias("rows"),
+        )
+
+    found = F.filter("__parts", lambda part: part["taken"] > 0)
+    steps = {"__whole": lengths(0), "__gaps": lengths(1), "__taken": lengths(2), "__owner": owner}
+    steps |= {"__begins": begins, "__parts": parts, "__blocks": F.transform(found, block)}
+    return _with_steps(df, steps)
+
 
+def _by_title(blocks: Column) -> Column:
+    """Title and place of blocks, in order of both."""
+    return F.array_sort(
+        F.transform(blocks, lambda b, at: F.struct(b["title"].alias("title"), at.alias("at")))
+    )
 
-_ROWS = "array<string>"
-_FOUND = "array<struct<title: string, rows: array<string>>>"
 
+def _last_of_titles(df: DataFrame) -> DataFrame:
+    """``__blocks`` named as the older scan does, of which the last of a title replaces others.
 
-def _closed(state: Column, compat: bool) -> Column:
-    """Blocks found so far, with the open one added under its title or number."""
-    names = F.transform(state["found"], lambda b: b["title"])
-    number = F.size(F.array_distinct(names) if compat else names) + 1
-    title = F.coalesce(state["title"], F.concat(F.lit("Report "), number.cast("string")))
-    return F.array_append(
-        state["found"], F.struct(title.alias("title"), state["rows"].alias("rows"))
+    A block without a title is numbered after the titles known before it.
+    """
+    # Sorted by title and place, the first of a title follows another one.
+    new = F.filter(
+        "__sorted",
+        lambda b, i: b["title"].isNull() | ~F.coalesce(F.get("__sorted", i - 1)["title"] == b["title"], F.lit(False)),
+    )
+    counted = F.transform(
+        F.array_sort(F.transform(new, lambda b: F.struct(b["at"].alias("at"), b["title"].alias("title")))),
+        lambda b, known: F.struct(b["at"].alias("at"), b["title"].alias("title"), (known + 1).alias("number")),
+    )
+    numbered = F.transform(
+        F.filter(counted, lambda b: b["title"].isNull()),
+        lambda b: F.struct(
+            b["at"].alias("at"), F.concat(F.lit("Report "), b["number"].cast("string")).alias("title")
+        ),
+    )
+    own = F.filter(
+        F.transform("__blocks", lambda b, at: F.struct(at.alias("at"), b["title"].alias("title"))),
+        lambda b: b["title"].isNotNull(),
     )
+    named = F.array_sort(F.concat(own, numbered))
+    named_blocks = F.zip_with(
+        "__named",
+        "__blocks",
+        lambda b, found: F.struct(b["title"].alias("title"), found["rows"].alias("rows")),
+    )
+    last = F.filter(
+        "__sorted",
+        lambda b, i: ~F.coalesce(F.get("__sorted", i + 1)["title"] == b["title"], F.lit(False)),
+    )
+    kept = F.transform(
+        F.array_sort(F.transform(last, lambda b: b["at"])), lambda at: F.get("__blocks", at)
+    )
+    steps = {"__sorted": _by_title(F.col("__blocks")), "__named": named, "__blocks": named_blocks}
+    df = _with_steps(df, steps)
+    return _with_steps(df, {"__sorted": _by_title(F.col("__blocks")), "__blocks": kept})
 
 
-def table_blocks(text: Column, rows: int = BLOCK_ROWS, compat: bool = False) -> Column:
-    """Titled table blocks of a text as an array of (title, rows).
+def explode_blocks(df: DataFrame, text: str, rows: int = BLOCK_ROWS, compat: bool = False) -> DataFrame:
+    """One row per titled table block of a text: ``block_no`` from 1, ``title``, ``rows``.
 
     A table row has at least four tab-separated fields. A block is a run of such rows,
     of which the first ``rows`` are kept with ``|`` for tabs. Its title is the first
@@ -177,75 +282,32 @@ def table_blocks(text: Column, rows: int = BLOCK_ROWS, compat: bool = False) ->
 
     ``compat`` reproduces the older scan: a block also ends at the row after the last
     kept one, everything up to the next blank line after the closing line is skipped
-    (also when the closing line is itself blank), and a block open at the end of the text
-    is lost.
-    """
-    no, yes = F.lit(False), F.lit(True)
-    untitled = F.lit(None).cast("string")
-    empty = F.array().cast(_ROWS)
-    start = _state(no, no, untitled, empty, F.array().cast(_FOUND))
+    (also when the closing line is itself blank), a block open at the end of the text
+    is lost, and of blocks with one title the last replaces the others. Its ``Report n``
+    are numbered as if no line of the text read like that.
 
-    def step(state: Column, line: Column) -> Column:
-        # Cut before the tab that opens the fourth field, a table row has lost something.
-        is_row = F.substring_index(line, "\t", TABLE_FIELDS - 1) != line
-        is_open = F.size(state["rows"]) > 0
-        room = F.size(state["rows"]) < rows
-        blank = line == ""
-        row = F.replace(line, F.lit("\t"), F.lit("|"))
-        taken = _state(
-            state["skip"], state["titled"], state["title"],
-            F.array_append(state["rows"], row), state["found"],
-        )
-        names = ~state["titled"] & (F.char_length(line) >= TITLE_CHARS)
-        named = _state(no, yes, line, empty, state["found"])
-        after_blank = _state(no, state["titled"], state["title"], state["rows"], state["found"])
-        closed = _state(~blank | F.lit(compat), no, untitled, empty, _closed(state, compat))
-        if compat:
-            return (
-                F.when(state["skip"] & blank, after_blank)
-                .when(state["skip"], state)
-                .when(is_row & room, taken)
-                .when(is_open, closed)
-                .when(names, named)
-                .otherwise(state)
-            )
-        return (
-            F.when(is_row & room, taken)
-            .when(is_row, state)
-            .when(is_open, closed)
-            .when(blank, after_blank)
-            .when(state["skip"], state)
-            .when(names, named)
-            .otherwise(state)
-        )
-
-    def finish(state: Column) -> Column:
-        if compat:
-            return state["found"]
-        return F.when(F.size(state["rows"]) > 0, _closed(state, compat)).otherwise(state["found"])
-
-    return F.aggregate(lines_of(text), start, step, finish)
-
-
-def explode_blocks(df: DataFrame, text: str, rows: int = BLOCK_ROWS, compat: bool = False) -> DataFrame:
-    """One row per block: ``block_no`` from 1, ``title``, ``rows``."""
+    Blocks are found from one sign per line, by places; texts are cut out at the end. The work
+    is linear in the lines of a text, but for sorting its titles in ``compat``.
+    """
     kept = [c for c in df.columns if c != text]
-    found = df.select(*kept, table_blocks(F.col(text), rows, compat).alias("__found"))
-    blocks = F.col("__found")
-    if compat:
-        # Of blocks with one title the last replaces the others.
-        blocks = F.filter(
-            blocks,
-            lambda block, place: ~F.exists(
-                F.slice("__found", place + 2, F.size("__found")),
-                lambda later: later["title"] == block["title"],
-            ),
-        )
+    line_sign = lambda line: (
+        # Cut before the tab that opens the fourth field, a table row has lost something.
+        F.when(F.substring_index(line, "\t", TABLE_FIELDS - 1) != line, _ROW)
+        .when(line == "", _BLANK)
+        .when(F.char_length(line) >= TITLE_CHARS, _LONG)
+        .otherwise(_SHORT)
+    )
+    lined = df.select(*kept, lines_of(F.col(text)).alias("__lines")).filter(F.size("__lines") > 0)
+    signed = lined.withColumn("__signs", F.transform("__lines", line_sign))
+    found = _last_of_titles(_older_runs(signed, rows)) if compat else _runs(signed, rows)
     # The outer form, as for the plain one Spark adds a filter that finds the blocks twice.
-    exploded = found.select(*kept, F.posexplode_outer(blocks).alias("__no", "__block"))
-    return exploded.filter("__no is not null").select(
+    exploded = found.select(*kept, F.posexplode_outer("__blocks").alias("__no", "__block"))
+    numbered = exploded.filter("__no is not null").withColumn("block_no", F.col("__no") + 1)
+    return numbered.select(
         *kept,
-        (F.col("__no") + 1).alias("block_no"),
-        F.col("__block.title").alias("title"),
-        F.col("__block.rows").alias("rows"),
+        "block_no",
+        F.coalesce("__block.title", F.concat(F.lit("Report "), F.col("block_no").cast("string"))).alias(
+            "title"
+        ),
+        F.transform("__block.rows", lambda row: F.replace(row, F.lit("\t"), F.lit("|"))).alias("rows"),
     )

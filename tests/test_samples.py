@@ -4,6 +4,7 @@ import csv
 import io
 import random
 import sys
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,6 +128,24 @@ def test_open_block_and_following_table_differ_by_mode(spark):
     assert titles(True) == ["First one"]
 
 
+@pytest.mark.parametrize("compat", [False, True])
+def test_blocks_of_a_long_text_take_linear_time(spark, compat):
+    """A hundred thousand blocks, and long stretches without any, in one text."""
+    def text(number):
+        blocks = "".join(f"Title {i % 900}\na\tb\tc\td\nfoot\n\n" if i % 3 else "e\tf\tg\th\n\n\n" for i in range(number))
+        return "x\n" * number + blocks + "long line\n" * number + "a\tb\tc\td"
+
+    seconds = {}
+    for number in (10_000, 100_000, 100_000):
+        whole = text(number)
+        df = spark.createDataFrame([(whole,)], "text string")
+        start = time.perf_counter()
+        got = [(r.title, r.rows) for r in explode_blocks(df, "text", compat=compat).orderBy("block_no").collect()]
+        seconds[number] = time.perf_counter() - start
+        assert (sorted(got) if compat else got) == (rule_compat if compat else rule_blocks)(whole)
+    assert seconds[100_000] < 25 * max(seconds[10_000], 0.5)
+
+
 @pytest.mark.parametrize("lines", [1, 3, 15])
 def test_text_sample_keeps_first_lines(spark, lines):
     texts = ["", "a", "a\n", "a\tb\n\n", "\n" * 20, "\n".join(str(i) for i in range(40)), "a\n" * 15]
