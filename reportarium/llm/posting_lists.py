@@ -12,8 +12,8 @@ size.
 
 Search: a query visits the lists whose centroid is within a ratio of the nearest one's
 distance, and the few nearest in any case. The ratio is the least one that finds enough
-neighbours within the sample. A query starts with the best of the sample; each block is
-scored with each visiting query and hands on only what is no worse than the last of those.
+neighbours within the sample. Each block is scored with each visiting query and hands on its k
+best; nothing but the lists visited answers a query.
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor
 do rows without an id. Of several vectors under one id the smallest counts. Only vectors of
@@ -225,11 +225,6 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
 
-def _seeds(queries: pd.DataFrame, sample: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best of the sample for each query."""
-    return _best(queries.assign(bound=-np.inf), sample, k)
-
-
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products of paired rows, summed in the order of components."""
     total = np.zeros(len(a))
@@ -239,7 +234,7 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _best(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best rows of one block for each query, none worse than its bound; ties by id."""
+    """The k best rows of one block for each query; ties by id."""
     if not len(queries) or not len(rows):
         return pd.DataFrame({"query_id": [], "id": [], "score": []})
     q, r = _matrix(queries["v"]), _matrix(rows["v"])
@@ -250,11 +245,10 @@ def _best(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
     kth = -np.partition(-rough, place, axis=1)[:, place]
     # Sums in another order differ by rounding: whatever may reach the kth is summed again.
     slack = 1e-12 * np.sqrt((q**2).sum(axis=1) * (r**2).sum(axis=1).max()) * q.shape[1]
-    bound = queries["bound"].to_numpy()
-    least = np.maximum(np.maximum(kth, bound) - slack, -1.7e308)
+    least = np.maximum(kth - slack, -1.7e308)
     a, b = np.nonzero(rough >= least[:, None])
     score = _products(q[a], r[b])
-    found = pd.DataFrame({"query_id": query_ids[a], "id": ids[b], "score": score})[score >= bound[a]]
+    found = pd.DataFrame({"query_id": query_ids[a], "id": ids[b], "score": score})
     found = found.sort_values(["query_id", "score", "id"], ascending=[True, False, True])
     return found.groupby("query_id").head(k)
 
@@ -301,7 +295,6 @@ def _search(rows: DataFrame, is_query: Column, total: int, reach: float, k: int)
     spark = rows.sparkSession
     sample = rows.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas()
     index = spark.sparkContext.broadcast(fit(_matrix(sample["v"]), total, reach, k))
-    known = spark.sparkContext.broadcast(sample)
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Stored vectors, once per list that holds them."""
@@ -314,11 +307,6 @@ def _search(rows: DataFrame, is_query: Column, total: int, reach: float, k: int)
                 columns = [part.column("id"), part.column("v"), pa.array(lists, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "v", "list"])
 
-    def seeded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), STEP):
-                yield _seeds(batch.iloc[start : start + STEP], known.value, k)
-
     def visiting(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Queries, once per list they visit."""
         for batch in batches:
@@ -330,17 +318,9 @@ def _search(rows: DataFrame, is_query: Column, total: int, reach: float, k: int)
     kind = rows.schema["v"].dataType.simpleString()
     narrow = rows.select("id", "v")
     queries = narrow.filter(is_query)
-    seeds = staged(queries.mapInPandas(seeded, "query_id long, id long, score double"), "seeds")
-    last = seeds.groupBy("query_id").agg(
-        F.min("score").alias("bound"), F.count(F.lit(1)).alias("found")
-    )
-    unbounded = F.lit(float("-inf"))
-    bounded = queries.join(last, queries.id == last.query_id, "left").select(
-        "id", "v", F.when(F.col("found") == k, F.col("bound")).otherwise(unbounded).alias("bound")
-    )
     stored = staged(narrow.mapInArrow(listed, f"id long, v {kind}, list long"), "postings")
     visits = staged(
-        bounded.mapInPandas(visiting, f"id long, v {kind}, bound double, list long"), "visits"
+        queries.mapInPandas(visiting, f"id long, v {kind}, list long"), "visits"
     )
 
     def blocks(table: DataFrame, name: str) -> DataFrame:
@@ -368,4 +348,4 @@ def _search(rows: DataFrame, is_query: Column, total: int, reach: float, k: int)
         .cogroup(right.groupBy(*key))
         .applyInPandas(lambda r, q: _best(q, r, k), "query_id long, id long, score double")
     )
-    return best.unionByName(seeds).distinct()
+    return best.distinct()  # a row is stored in several lists

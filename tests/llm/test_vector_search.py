@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -103,6 +104,19 @@ def test_nearest_query_finds_the_nearest(spark):
         assert [(-r.score, r.vec_id) for r in own] == sorted((-r.score, r.vec_id) for r in own)
 
 
+def test_lists_alone_answer_beyond_the_sample(spark):
+    """On a table several times the sample, of which brute force over the sample knows a quarter."""
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(60_000, 32))
+    rows = spark.createDataFrame(pd.DataFrame({"vec_id": range(60_000), "embedding": points.tolist()}))
+    found = nearest(rows, F.col("id") % 600 == 0, 20).collect()
+    scores = points[::600] @ points.T
+    scores[np.arange(100), np.arange(0, 60_000, 600)] = -np.inf
+    want = {(q * 600, int(n)) for q, own in enumerate(np.argsort(-scores, axis=1)[:, :20]) for n in own}
+    assert len(found) == 2000
+    assert len(want & {(r.query_id, r.vec_id) for r in found}) >= 0.95 * 2000
+
+
 @pytest.mark.parametrize("spread", [0.0, 1.0, 3.0])
 def test_recall_on_many_lists(spread):
     rng = np.random.default_rng(int(spread * 10))
