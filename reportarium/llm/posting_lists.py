@@ -12,8 +12,8 @@ size.
 
 Search: a query visits the lists whose centroid is within a ratio of the nearest one's
 distance, and the few nearest in any case. The ratio is the least one that finds enough
-neighbours within the sample. Each block is scored with each visiting query and hands on its k
-best; nothing but the lists visited answers a query.
+neighbours within the sample. The nearest list comes first, and its kth best bounds what the
+blocks of the others hand on; nothing but the lists visited answers a query.
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor
 do rows without an id. Of several vectors under one id the smallest counts. Only vectors of
@@ -234,7 +234,7 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _best(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best rows of one block for each query; ties by id."""
+    """The k best rows of one block for each query, none worse than its bound; ties by id."""
     if not len(queries) or not len(rows):
         return pd.DataFrame({"query_id": [], "id": [], "score": []})
     q, r = _matrix(queries["v"]), _matrix(rows["v"])
@@ -245,10 +245,11 @@ def _best(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
     kth = -np.partition(-rough, place, axis=1)[:, place]
     # Sums in another order differ by rounding: whatever may reach the kth is summed again.
     slack = 1e-12 * np.sqrt((q**2).sum(axis=1) * (r**2).sum(axis=1).max()) * q.shape[1]
-    least = np.maximum(kth - slack, -1.7e308)
+    bound = queries["bound"].to_numpy()
+    least = np.maximum(np.maximum(kth, bound) - slack, -1.7e308)
     a, b = np.nonzero(rough >= least[:, None])
     score = _products(q[a], r[b])
-    found = pd.DataFrame({"query_id": query_ids[a], "id": ids[b], "score": score})
+    found = pd.DataFrame({"query_id": query_ids[a], "id": ids[b], "score": score})[score >= bound[a]]
     found = found.sort_values(["query_id", "score", "id"], ascending=[True, False, True])
     return found.groupby("query_id").head(k)
 
@@ -308,19 +309,21 @@ def _search(rows: DataFrame, is_query: Column, total: int, reach: float, k: int)
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "v", "list"])
 
     def visiting(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Queries, once per list they visit."""
+        """Queries, once per list they visit; the nearest one is marked."""
         for batch in batches:
             for start in range(0, len(batch), STEP):
                 part = batch.iloc[start : start + STEP]
                 at, lists = index.value.lists_for(_matrix(part["v"]))
-                yield part.iloc[at].assign(list=lists)
+                closest = np.zeros(len(at), dtype=bool)
+                closest[np.unique(at, return_index=True)[1]] = True  # lists come nearest first
+                yield part.iloc[at].assign(list=lists, nearest=closest)
 
     kind = rows.schema["v"].dataType.simpleString()
     narrow = rows.select("id", "v")
     queries = narrow.filter(is_query)
     stored = staged(narrow.mapInArrow(listed, f"id long, v {kind}, list long"), "postings")
     visits = staged(
-        queries.mapInPandas(visiting, f"id long, v {kind}, list long"), "visits"
+        queries.mapInPandas(visiting, f"id long, v {kind}, list long, nearest boolean"), "visits"
     )
 
     def blocks(table: DataFrame, name: str) -> DataFrame:
@@ -329,9 +332,7 @@ def _search(rows: DataFrame, is_query: Column, total: int, reach: float, k: int)
             F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name)
         )
 
-    grid = blocks(stored, "row_blocks").join(blocks(visits, "query_blocks"), "list")
-
-    def dealt(table: DataFrame, own: str, other: str, names: tuple[str, str]) -> DataFrame:
+    def dealt(table: DataFrame, grid: DataFrame, own: str, other: str, names: tuple[str, str]) -> DataFrame:
         """Each row in its own block, once for each block of the other side."""
         return (
             table.join(grid, "list")
@@ -340,12 +341,28 @@ def _search(rows: DataFrame, is_query: Column, total: int, reach: float, k: int)
             .drop("row_blocks", "query_blocks")
         )
 
-    key = ["list", "row_block", "query_block"]
-    left = dealt(stored, "row_blocks", "query_blocks", ("row_block", "query_block"))
-    right = dealt(visits, "query_blocks", "row_blocks", ("query_block", "row_block"))
-    best = (
-        left.groupBy(*key)
-        .cogroup(right.groupBy(*key))
-        .applyInPandas(lambda r, q: _best(q, r, k), "query_id long, id long, score double")
+    def scored(own: DataFrame) -> DataFrame:
+        """Each block of the stored lists with the queries (id, v, bound, list) that visit it."""
+        grid = blocks(stored, "row_blocks").join(blocks(own, "query_blocks"), "list")
+        key = ["list", "row_block", "query_block"]
+        left = dealt(stored, grid, "row_blocks", "query_blocks", ("row_block", "query_block"))
+        right = dealt(own, grid, "query_blocks", "row_blocks", ("query_block", "row_block"))
+        return (
+            left.groupBy(*key)
+            .cogroup(right.groupBy(*key))
+            .applyInPandas(lambda r, q: _best(q, r, k), "query_id long, id long, score double")
+        )
+
+    # The kth best of its nearest list bounds what a query takes from the others.
+    unbounded = F.lit(float("-inf"))
+    near = visits.filter("nearest").drop("nearest").withColumn("bound", unbounded)
+    first = staged(scored(near), "first")
+    last = first.groupBy("query_id").agg(
+        F.get(F.sort_array(F.collect_list("score"), asc=False), F.lit(k - 1)).alias("__bound")
+    )
+    others = visits.filter("not nearest").drop("nearest")
+    others = others.join(last, others.id == last.query_id, "left").select(
+        "id", "v", "list", F.coalesce("__bound", unbounded).alias("bound")
     )
+    best = first.unionByName(scored(others))
     return best.distinct()  # a row is stored in several lists
