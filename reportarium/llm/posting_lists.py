@@ -112,9 +112,10 @@ class Index:
         lengths = (self.centroids**2).sum(axis=1)
         own = (points**2).sum(axis=1)
         seen = np.zeros((len(points), number), dtype=bool)
-        seen[:, self.entries] = True
-        beam = np.tile(self.entries, (len(points), 1))
-        far = own[:, None] + lengths[self.entries] - 2 * points @ self.centroids[self.entries].T
+        entries = np.unique(self.entries)
+        seen[:, entries] = True
+        beam = np.tile(entries, (len(points), 1))
+        far = own[:, None] + lengths[entries] - 2 * points @ self.centroids[entries].T
         left = np.zeros(beam.shape, dtype=bool)
         walking = np.arange(len(points))
         while len(walking):
@@ -126,7 +127,12 @@ class Index:
                 break
             left[walking, best] = True
             next_ones = self.graph[np.maximum(beam[walking, best], 0)]
-            fresh = ~seen[walking[:, None], next_ones]
+            # A centroid that a row of the graph names twice is met once.
+            order = np.argsort(next_ones, axis=1, kind="stable")
+            ordered = np.take_along_axis(next_ones, order, 1)
+            again = np.zeros(next_ones.shape, dtype=bool)
+            np.put_along_axis(again, order[:, 1:], ordered[:, 1:] == ordered[:, :-1], 1)
+            fresh = ~seen[walking[:, None], next_ones] & ~again
             seen[walking[:, None], next_ones] = True
             new_far = (
                 own[walking, None]

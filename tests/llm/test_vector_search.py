@@ -142,6 +142,7 @@ def test_walk_finds_the_nearest_centroids():
     index = fit(points, 4_000_000, 10.0, 20)
     far = ((index.lifted(points[:300])[:, None, :] - index.centroids) ** 2).sum(axis=2)
     lists, found = index.near(index.lifted(points[:300]), 32)
+    assert all(len(set(row)) == len(row) for row in lists.tolist())
     assert (lists[:, 0] == far.argmin(axis=1)).mean() > 0.98
     assert np.allclose(found**2, np.take_along_axis(far, lists, 1))
 
