@@ -67,16 +67,28 @@ def word_count(text: Column) -> Column:
 
 
 def keyword_matches(text: Column, keywords: Iterable[str]) -> Column:
-    """Keywords found in a text as whole words, in order, in lower case.
+    """Keywords found in a text as whole words, in lower case, once per occurrence.
 
-    One pass over the text for all keywords: from left to right, the longest keyword
-    first, without overlap. Words of a phrase may be apart by anything but letters and
-    digits.
+    The words of the text (letters a-z and digits) are looked up alone and in runs as long as
+    the keywords have, so phrases count that overlap or lie within one another. Shorter ones come
+    first, those of one length in the order of the text.
     """
-    ordered = sorted({k.lower() for k in keywords}, key=lambda k: (-len(k), k))
-    choices = "|".join("[^a-z0-9]+".join(re.escape(w) for w in k.split()) for k in ordered)
-    pattern = f"(?<![a-z0-9])(?:{choices})(?![a-z0-9])"
-    found = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
-    if not any(" " in k for k in ordered):
-        return found
-    return F.transform(found, lambda k: F.regexp_replace(k, "[^a-z0-9]+", " "))
+    by_size: dict[int, set[str]] = {}
+    for keyword in keywords:
+        words = re.findall("[a-z0-9]+", keyword.lower())
+        by_size.setdefault(len(words), set()).add(" ".join(words))
+
+    def runs(words: Column, size: int) -> Column:
+        if size == 1:
+            return words
+        # Runs that the end cuts short have fewer words than any keyword sought.
+        return F.transform(words, lambda _, at: F.array_join(F.slice(words, at + 1, F.lit(size)), " "))
+
+    def known(words: Column, size: int) -> Column:
+        return F.filter(runs(words, size), lambda run: run.isin(*sorted(by_size[size])))
+
+    def found(words: Column) -> Column:
+        return F.concat(*(known(words, size) for size in sorted(by_size)))
+
+    words = F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
+    return F.transform(F.array(words), found)[0]

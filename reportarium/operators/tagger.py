@@ -25,9 +25,11 @@ KEYWORDS = {
     ),
     "Contract Management": ("policies", "contracts", "invoices", "policy issuance", "renewals"),
     "Buyer Underwriting": ("buyers", "credit limits", "buyer risk", "underwriting"),
-    "Claims and Recovery Management": ("claims", "recoveries", "disputes"),
+    "Claims and Recovery Management": (
+        "claims", "recoveries", "disputes", "collections after claim events",
+    ),
     "Collections Management": (
-        "debt collection", "collection registration", "collection activities",
+        "debt collection operations", "collection registration", "collection activities",
     ),
     "Distribution & Channel Management": (
         "brokers", "agencies", "partners", "channels", "portals", "touchpoints",
@@ -74,8 +76,8 @@ def tag_domain(
     """Add ``business_domain``, ``evidence_source``, ``hits``.
 
     The strongest source with any keyword decides, there the domain with most hits,
-    there the first in the order of ``keywords``. Each text is searched once for all
-    keywords, within its own row: no exploded words, no join, no shuffle.
+    there the first in the order of ``keywords``. Words and runs of words are looked up
+    within their own row: no exploded words, no join, no shuffle.
     """
     kept = df.columns
     words = [w for listed in keywords.values() for w in listed]

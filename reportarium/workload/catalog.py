@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,14 +26,17 @@ from reportarium.sources.documents import read_texts
 from reportarium.sources.exports import read_outputs
 from reportarium.sources.output_files import read_heads, write_outputs
 from reportarium.sources.sinks import (
+    add_timestamp_column,
+    append_by_name,
     append_json_lines,
     document_json,
+    replace_table,
     with_timestamp_column,
     write_dated,
     write_document_lines,
     write_quoted_csv,
 )
-from reportarium.sources.tables import read_parquet, union_generations
+from reportarium.sources.tables import read_parquet, read_table, union_generations
 from reportarium.streaming.bronze_stream import load_new_files
 from reportarium.workload import roles
 from reportarium.workload.roles import RUN_DATE, Tables
@@ -278,6 +282,27 @@ def reference_list_load(t: Tables) -> DataFrame:
     return loaded.withColumn("load_date", F.col("load_date").cast("string"))
 
 
+def table_generations(t: Tables) -> DataFrame:
+    """A catalog table that is replaced, appended to by name, widened, and read back."""
+    database = f"estate_{uuid.uuid4().hex[:12]}"
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_dir(t.spark, 'warehouse')}'")
+    table = f"{database}.metadata"
+    open_ones, others = F.col("o_orderstatus") == "O", F.col("o_orderstatus") != "O"
+    replace_table(t.orders.filter(others).limit(1), table)
+    replace_table(t.orders.filter(others).select("o_orderkey", "o_orderstatus", "o_totalprice"), table)
+    append_by_name(t.orders.filter(open_ones).select("o_totalprice", "o_orderkey", "o_orderstatus"), table)
+    add_timestamp_column(t.spark, table)
+    dated = F.col("o_orderdate").cast("timestamp_ntz").alias("ingestion_ts")
+    later = (F.col("o_orderkey") + 10**12).alias("o_orderkey")
+    append_by_name(t.orders.filter(open_ones).select(dated, later, "o_orderstatus", "o_totalprice"), table)
+    return read_table(t.spark, table).groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("ingestion_ts").alias("stamped"),
+        F.max("ingestion_ts").cast("string").alias("last"),
+        F.sum("o_orderkey").alias("keys"),
+    )
+
+
 def provider_sql_extract(t: Tables) -> DataFrame:
     landed = extraction.land_responses(roles.responses(t), scratch_dir(t.spark, "responses"))
     return extraction.provider_sql(landed, roles.universe_connections(t))
@@ -618,6 +643,7 @@ QUERIES = (
     run_totals,
     call_outcomes,
     providers_per_document,
+    table_generations,
     worklist_update,
     worklist_placeholders,
     registry_pending,

@@ -115,6 +115,9 @@ def test_tagger(spark):
         ({**none, "folder_path": "/credit   limits/", "owner": "ledger ledger"}, ("Buyer Underwriting", "folder_path", 1)),
         ({**none, "report_title": "claimsx underclaims", "consumers": "it-operations"}, ("IT Management", "consumers", 1)),
         ({**none, "variables": "products; policies"}, ("Contract Management", "variables", 1)),
+        ({**none, "owner": "Collections after claim-events; debt collection"}, ("Claims and Recovery Management", "owner", 1)),
+        ({**none, "owner": "debt collection operations. Collection registration"}, ("Collections Management", "owner", 2)),
+        ({**none, "owner": "data quality metadata, master data quality"}, ("Data Management", "owner", 4)),
         (none, ("Unknown", None, 0)),
     ]
     schema = "id int, " + ", ".join(f"{e} string" for e in EVIDENCE)
