@@ -14,6 +14,9 @@ from reportarium.operators.chunks import chunk_text
 from reportarium.operators.keys import latest_per_key
 from reportarium.operators.tagger import tag_domain
 from reportarium.operators.worklist import (
+    read_work_list,
+    rewrite_work_list,
+    store_work_list,
     pending,
     unprocessed,
     update_work_list,
@@ -395,6 +398,15 @@ def worklist_update(t: Tables) -> DataFrame:
     return update_work_list(roles.work_list(t), roles.processed(t))
 
 
+def worklist_rewrite(t: Tables) -> DataFrame:
+    """A stored work list after the reports of one source were processed, read back."""
+    path = scratch_dir(t.spark, "worklist")
+    store_work_list(roles.work_list(t), path)
+    of_source = t.documents.filter("source = 'src3'").select(F.col("doc_id").cast("string").alias("report_id"))
+    rewrite_work_list(t.spark, path, roles.processed(t).join(of_source, "report_id", "left_semi"))
+    return read_work_list(t.spark, path)
+
+
 def worklist_placeholders(t: Tables) -> DataFrame:
     return with_placeholders(roles.work_list(t).select("report_id"), roles.labelled_details(t))
 
@@ -645,6 +657,7 @@ QUERIES = (
     providers_per_document,
     table_generations,
     worklist_update,
+    worklist_rewrite,
     worklist_placeholders,
     registry_pending,
     export_paths,
