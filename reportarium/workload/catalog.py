@@ -609,6 +609,13 @@ def domain_tagger(t: Tables) -> DataFrame:
     return _tagged(t).select("doc_id", "business_domain", "evidence_source", "hits")
 
 
+def domain_phrases(t: Tables) -> DataFrame:
+    """The keyword table over titles and texts that hold its phrases, whole or in parts."""
+    return tag_domain(roles.phrased(t), ("report_title", "additional_metadata")).select(
+        "doc_id", "business_domain", "evidence_source", "hits"
+    )
+
+
 def latest_snapshot(t: Tables) -> DataFrame:
     return latest_per_key(t.lineitem, ["l_orderkey", "l_linenumber"], "l_shipdate")
 
@@ -676,6 +683,7 @@ QUERIES = (
     weakest_confidence,
     token_cost,
     domain_tagger,
+    domain_phrases,
     latest_snapshot,
 )
 

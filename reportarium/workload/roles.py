@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportarium.operators.lists import record_lists
+from reportarium.operators.tagger import KEYWORDS
 
 RUN_DATE = "2026-01-31"
 
@@ -496,6 +497,33 @@ def work_list(t: Tables) -> DataFrame:
     )
 
 
+#: All phrases of the keyword table, in its order.
+PHRASES = tuple(phrase for listed in KEYWORDS.values() for phrase in listed)
+
+
+def phrased(t: Tables) -> DataFrame:
+    """Documents with phrases of the keyword table in a title, where they have one, and a text.
+
+    A phrase in the text may run into another one, or lack its last word.
+    """
+    known = F.array(*map(F.lit, PHRASES))
+
+    def phrase(number: Column) -> Column:
+        return F.get(known, F.pmod(number, F.lit(len(PHRASES))).cast("int"))
+
+    number = F.col("doc_id")
+    cut = F.regexp_replace(phrase(number * 3 + 5), "[a-z]+$", "")
+    word = F.substring_index("text", " ", 1)
+    title = F.concat_ws(" - ", word, F.upper(phrase(number * 7 + F.char_length("text"))))
+    return t.documents.select(
+        "doc_id",
+        F.when(number % 3 == 0, title).alias("report_title"),
+        F.concat_ws(" ", phrase(number), phrase(number * 11 + 1), F.lit("/"), cut, word).alias(
+            "additional_metadata"
+        ),
+    )
+
+
 def processed(t: Tables) -> DataFrame:
     return t.labels.select(
         text("doc_id").alias("report_id"),
