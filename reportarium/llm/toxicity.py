@@ -4,8 +4,9 @@ A bounded sample of labelled rows trains it. Words and word beginnings of severa
 counted by kind; each length gives a lexicon of patterns that mark toxic rows. Voters are
 these lexicons, fixed word lists, the shape of the text, and the annotator. A row is voted on
 with lexicons from the other half of the sample, so that no voter has seen its label. A
-generative model weighs the voters (see ``weak_labels``), and a logistic classifier on the
-patterns' counts learns its posterior labels. Scores come from that classifier alone, from
+generative model estimates how far each voter can be trusted, the annotator too, and which
+repeat each other (see ``weak_labels``); a logistic classifier on the patterns' counts learns
+its posterior labels, which differ from the annotator's where the others agree against it. Scores come from that classifier alone, from
 the whole text.
 
 Null or empty text: scored by the classifier's bias. Several labels for one id: toxic if any
@@ -40,8 +41,6 @@ PATTERNS = 4096
 #: A lexicon's patterns: their likelihood ratio at least (beyond what the best of a million
 #: patterns has by chance) and their share of toxic rows.
 SIGNAL, PRECISE = 28.0, 0.9
-#: Accuracy that the label model takes the annotator to have.
-ANNOTATOR = 0.999
 #: Word lists of voters.
 WORD_LISTS = {
     "insults": "idiot moron loser clown fool jerk imbecile dumbass cretin dimwit",
@@ -206,8 +205,7 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Mo
     schema = "votes array<long>, columns array<int>, counts array<double>"
     found = sample.mapInArrow(vote, schema).toArrow().combine_chunks()  # ``labelled`` rows
     votes = np.array(found.column("votes").to_pylist(), dtype=np.int64)
-    annotator = (votes.shape[1] - 1, ANNOTATOR)
-    target = fit_label_model(votes, annotator).posterior(votes)
+    target = fit_label_model(votes, alone=votes.shape[1] - 1).posterior(votes)
     lists_of = found.column("columns").combine_chunks()
     owner = np.repeat(np.arange(len(votes)), np.diff(lists_of.offsets.to_numpy()))
     values = found.column("counts").combine_chunks().flatten().to_numpy()

@@ -1,10 +1,13 @@
 """A generative model of voters: how often each is right, and which say the same twice.
 
 Votes are 1 (toxic), -1 (clean) and 0 (no opinion). Expectation maximisation finds, without
-labels, the share of toxic rows and how each voter votes on either kind; one voter can be
-trusted with a given accuracy. What two voters still have in common once the kind is known is
-their correlation: a voter's weight falls with the number of voters it repeats, and the model
-is fitted again with these weights.
+labels, the share of toxic rows and how each voter votes on either kind. What two voters still
+have in common once the kind is known is their correlation: a voter's weight falls with the
+number of voters it repeats, and the model is fitted again with these weights.
+
+One voter may be a source of its own, such as a person who read the texts: it repeats nobody,
+and its share of toxic votes is the share of toxic rows. How far it can be trusted is estimated
+like any other voter's, from a start that the others alone give.
 """
 
 from __future__ import annotations
@@ -37,28 +40,22 @@ class LabelModel:
 
 
 def _fitted(
-    votes: np.ndarray, weights: np.ndarray, first: np.ndarray, trusted: tuple[int, float] | None
+    votes: np.ndarray, weights: np.ndarray, first: np.ndarray, share: float | None
 ) -> LabelModel:
     number = votes.shape[1]
     kinds = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
     toxic, model = first, None
     for _ in range(ROUNDS):
-        prior = float(np.clip(toxic.mean(), 1e-3, 0.5))
+        prior = float(np.clip(toxic.mean(), 1e-3, 0.5)) if share is None else share
         by_toxic = np.einsum("r,rvk->vk", toxic, kinds) + SMOOTH
         by_clean = np.einsum("r,rvk->vk", 1 - toxic, kinds) + SMOOTH
         by_toxic /= by_toxic.sum(axis=1, keepdims=True)
         by_clean /= by_clean.sum(axis=1, keepdims=True)
-        if trusted:
-            voter, accuracy = trusted
-            by_toxic[voter] = [1 - accuracy, 1, accuracy]
-            by_clean[voter] = [accuracy, 1, 1 - accuracy]
         right = prior * by_toxic[:, 2] + (1 - prior) * by_clean[:, 0]
         given = prior * (1 - by_toxic[:, 1]) + (1 - prior) * (1 - by_clean[:, 1])
         evidence = np.log(by_toxic) - np.log(by_clean)
         evidence[:, 1] = 0  # no opinion is no evidence
         accuracies = right / np.maximum(given, 1e-9)
-        if trusted:
-            accuracies[trusted[0]] = trusted[1]
         model = LabelModel(prior, evidence, weights, np.eye(number), accuracies)
         toxic, before = model.posterior(votes), toxic
         if np.abs(toxic - before).max(initial=0) < 1e-6:
@@ -77,21 +74,28 @@ def _correlations(votes: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return cov / size[:, None] / size
 
 
-def fit_label_model(votes: np.ndarray, trusted: tuple[int, float] | None = None) -> LabelModel:
-    """The model; ``trusted`` is a voter and the accuracy it is known to have."""
-    total = votes[:, trusted[0]] if trusted else votes.sum(axis=1)
-    first = np.where(total > 0, 0.95, np.where(total < 0, 0.03, 0.2))
+def fit_label_model(votes: np.ndarray, alone: int | None = None) -> LabelModel:
+    """The model; ``alone`` is the voter that is a source of its own."""
+    others = np.arange(votes.shape[1]) != (-1 if alone is None else alone)
+    share = None
+    if alone is not None:
+        given = votes[:, alone]
+        share = float(np.clip((given > 0).sum() / max((given != 0).sum(), 1), 1e-3, 1 - 1e-3))
 
     def weights(repeats: np.ndarray) -> np.ndarray:
-        if trusted:  # it votes by itself, not by what the others vote by
-            repeats[trusted[0], :] = repeats[:, trusted[0]] = 0
-        return 1 / np.maximum(repeats.sum(axis=1), 1)
+        among = np.where(np.outer(others, others), repeats, 0)
+        return 1 / np.maximum(among.sum(axis=1), 1)
 
+    total = votes[:, others].sum(axis=1)
+    first = np.where(total > 0, 0.95, np.where(total < 0, 0.03, 0.2))
     # Voters that hardly ever differ would outvote the others from the start.
     nearly = (_correlations(votes, np.zeros(len(votes))) > SAME).astype(float)
-    toxic = _fitted(votes, weights(nearly), first, trusted).posterior(votes)
+    start = weights(nearly)
+    toxic = _fitted(votes[:, others], start[others], first, share).posterior(votes[:, others])
+    if alone is not None:
+        toxic = _fitted(votes, start, toxic, share).posterior(votes)
     shared = _correlations(votes, toxic)
-    model = _fitted(votes, weights(np.maximum(shared, nearly)), toxic, trusted)
+    model = _fitted(votes, weights(np.maximum(shared, nearly)), toxic, share)
     model.correlations = shared
     return model
 

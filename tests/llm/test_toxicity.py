@@ -25,6 +25,47 @@ def test_label_model_finds_accuracies_and_repeated_voters():
     assert right > ((votes.sum(axis=1) > 0) == toxic).mean() and right > 0.93
 
 
+def test_annotator_is_estimated_and_overruled():
+    rng = np.random.default_rng(3)
+    toxic = rng.random(8000) < 0.2
+    truth = np.where(toxic, 1, -1)
+    votes = [np.where(rng.random(8000) < a, truth, -truth) for a in (0.92, 0.9, 0.88)]
+    for wrong in (0.0, 0.1):
+        person = np.where(rng.random(8000) < wrong, -truth, truth)
+        every = np.stack([*votes, person], axis=1)
+        model = fit_label_model(every, alone=3)
+        assert abs(model.accuracies[3] - (1 - wrong)) < 0.02
+        decided = model.posterior(every) > 0.5
+        against = (every[:, :3] == -person[:, None]).all(axis=1)
+        if wrong:
+            assert (decided == (person < 0))[against].all() and against.sum() > 300
+            assert (decided == toxic).mean() > 0.97
+        else:
+            assert (decided == toxic).mean() > 0.995
+
+
+def test_wrong_labels_are_overruled_where_voters_agree(spark, monkeypatch):
+    """A tenth of the toxic rows marked clean: those that most lexicons mark are turned round."""
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet").filter(~toxicity.held_out())
+    turned = (F.col("toxic") == 1) & (F.crc32(F.concat(F.lit("x"), "doc_id")) % 10 == 0)
+    noisy = labels.withColumn("toxic", F.when(turned, 0).otherwise(F.col("toxic")))
+    fitted = []
+
+    def kept(votes, alone):
+        fitted.append((votes, fit_label_model(votes, alone).posterior(votes)))
+        return fit_label_model(votes, alone)
+
+    monkeypatch.setattr(toxicity, "fit_label_model", kept)
+    toxicity.fit(documents, noisy)
+    votes, target = fitted[0]
+    marked = (votes[:, : len(toxicity.LENGTHS)] == 1).sum(axis=1) >= len(toxicity.LENGTHS) // 2
+    against = marked & (votes[:, -1] == -1)
+    assert against.sum() >= 10 and (target[against] > 0.5).all()
+    silent = (votes[:, :-1] != 1).all(axis=1)
+    assert (target[silent & (votes[:, -1] == -1)] < 0.05).all()
+
+
 def test_linear_classifier_learns_soft_labels():
     rng = np.random.default_rng(2)
     x = (rng.random((2000, 30)) < 0.2).astype(float)
