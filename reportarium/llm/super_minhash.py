@@ -13,7 +13,8 @@ they share one of their rarest shingles, which no near pair can do without. Grou
 hooking each group onto a smaller one and jumping along the hooks, in logarithmically many
 rounds.
 
-Null or empty text: no shingles, linked with nothing. Rows with one id are one document for
+Null or empty text: no shingles, linked with nothing. A very long text costs time and memory by
+its length, in one task. Other columns of the documents, of whatever name, do not matter. Rows with one id are one document for
 grouping, with a row each in the result. A row without an id has no group and is kept.
 Empty table: no rows.
 """
@@ -23,7 +24,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +41,8 @@ _OTHER = np.uint64(0xD1B54A32D192ED03)
 _STEPS = np.arange(1, 1 << 12, dtype=np.uint64) * _STEP
 #: Places of a permutation that are looked up in its list of swaps, before it is written out.
 LISTED = 8
-#: Size of the table of shingle frequencies, and the parts in which it is summed.
-TABLE_BITS, SLICES = 18, 64
+#: Size of the table of shingle frequencies.
+TABLE_BITS = 18
 #: Bytes of text whose shingles are held at once.
 TEXTS = 1 << 20
 
@@ -212,33 +212,28 @@ def _frequencies(held: DataFrame) -> np.ndarray:
         for batch in batches:
             hashes = batch.column("hashes").flatten().to_numpy().view(np.uint64)
             total += np.bincount(_places(hashes), minlength=len(total))
-        slices = total.reshape(SLICES, -1)
-        rows = [pa.array(np.arange(SLICES)), pa.array([part.tobytes() for part in slices])]
-        yield pa.RecordBatch.from_arrays(rows, names=["slice", "counts"])
+        used = np.flatnonzero(total)
+        columns = [pa.array(used), pa.array(total[used])]
+        yield pa.RecordBatch.from_arrays(columns, names=["place", "rows"])
 
-    def add(parts: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(part, dtype=np.int64) for part in parts["counts"])
-        return pd.DataFrame({"slice": parts["slice"][:1], "counts": [total.tobytes()]})
-
-    schema = "slice long, counts binary"
-    parts = held.mapInArrow(count, schema).groupBy("slice").applyInPandas(add, schema)
-    by_slice = {r["slice"]: r["counts"] for r in parts.collect()}  # the table of fixed size
-    empty = bytes(8 * (1 << TABLE_BITS) // SLICES)
-    table = b"".join(bytes(by_slice.get(i, empty)) for i in range(SLICES))
-    return np.frombuffer(table, dtype=np.int64)
+    parts = held.mapInArrow(count, "place long, rows long")
+    sums = parts.groupBy("place").agg(F.sum("rows").alias("rows")).toArrow()  # of fixed size
+    table = np.zeros(1 << TABLE_BITS, dtype=np.int64)
+    table[sums.column("place").to_numpy()] = sums.column("rows").to_numpy()
+    return table
 
 
 def _places(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
 
-def _prefix_pairs(held: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different groups that can be near, at least one of them outside.
+def _prefixes(held: DataFrame, percent: int) -> DataFrame:
+    """The rarest shingles of each set, with their place, as many as a near pair may need.
 
-    Two sets of n and m shingles must share c = ceil(t(n + m) / (1 + t)) of them, and then
+    Two sets of n <= m shingles must share c = ceil(t(n + m) / (1 + t)) of them, and then
     share one among the first n - c + 1 and m - c + 1, in any order of shingles that holds
-    for both. Rarest first, members of a large group that have drifted apart meet few
-    others. A set keeps what its smallest partner needs, n - ceil(tn) + 1.
+    for both. So a set needs n - ceil(2tn / (1 + t)) + 1 towards sets of its size or larger
+    ones (``short``), and n - ceil(tn) + 1 towards smaller ones.
     """
     counts = held.sparkSession.sparkContext.broadcast(_frequencies(held))
 
@@ -247,35 +242,53 @@ def _prefix_pairs(held: DataFrame, percent: int) -> DataFrame:
             lists = batch.column("hashes")
             bounds = lists.offsets.to_numpy()
             hashes = lists.values.to_numpy().view(np.uint64)
-            rows, shingles, places = [], [], []
+            rows, shingles, places, short = [], [], [], []
             for row, (a, b) in enumerate(zip(bounds, bounds[1:])):
                 own, n = hashes[a:b], int(b - a)
                 order = np.lexsort((own, counts.value[_places(own)]))
                 first = n - (percent * n + 99) // 100 + 1
+                alike = n + (-2 * percent * n) // (100 + percent) + 1
                 rows.append(np.full(first, row))
                 shingles.append(own[order[:first]])
                 places.append(np.arange(first))
+                short.append(places[-1] < alike)
             if not rows:
                 continue
             at = pa.array(np.concatenate(rows))
             sizes = pa.array(np.diff(bounds).astype(np.int64)).take(at)
             columns = [batch.column(c).take(at) for c in ("id", "component", "outside")]
             columns += [sizes, pa.array(_signed(np.concatenate(shingles)))]
-            columns.append(pa.array(np.concatenate(places)))
+            columns += [pa.array(np.concatenate(places)), pa.array(np.concatenate(short))]
             yield pa.RecordBatch.from_arrays(
-                columns, names=["id", "component", "outside", "n", "shingle", "place"]
+                columns, names=["id", "component", "outside", "n", "shingle", "place", "short"]
             )
 
-    schema = "id long, component long, outside boolean, n long, shingle long, place long"
-    rows = staged(
-        held.select("id", "component", "outside", "hashes").mapInArrow(prefixes, schema), "prefixes"
+    schema = (
+        "id long, component long, outside boolean, n long, shingle long, place long, short boolean"
     )
+    rows = held.select("id", "component", "outside", "hashes").mapInArrow(prefixes, schema)
+    return staged(rows, "prefixes")
+
+
+def _prefix_pairs(held: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different groups that can be near, at least one of them outside.
+
+    Rarest shingles first, members of a large group that have drifted apart meet few others.
+    The smaller set of a pair brings its short prefix only. Pages of one template that differ
+    too much to be near have as many rare shingles as that: what the template repeats in all
+    of them never meets itself.
+    """
+    rows = _prefixes(held, percent)
     names = ["id", "component", "n", "place"]
-    left = rows.filter("outside").select("shingle", *[F.col(c).alias(f"__{c}") for c in names])
-    both = percent * (F.col("n") + F.col("__n"))
-    common = F.floor((both + (99 + percent)) / (100 + percent))
+    outside = rows.filter("outside").select(
+        "shingle", "short", *[F.col(c).alias(f"__{c}") for c in names]
+    )
+    common = F.floor((percent * (F.col("n") + F.col("__n")) + (99 + percent)) / (100 + percent))
+    smaller = outside.filter("short").drop("short").join(rows, "shingle").filter("__n <= n")
+    larger = outside.drop("short").join(rows.filter("short"), "shingle").filter("__n > n")
     return (
-        left.join(rows, "shingle")
+        smaller.drop("short")
+        .unionByName(larger.drop("short"))
         .filter(
             (F.col("component") != F.col("__component"))
             & (F.least("n", "__n") * 100 >= F.greatest("n", "__n") * percent)

@@ -5,12 +5,15 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from conftest import SMALL
 from plain import near_groups, odd_documents, shingles
 from reportarium.llm import registry
 from reportarium.llm.shingles import shingle_sets
 from reportarium.llm.super_minhash import (
+    _prefix_pairs,
+    _prefixes,
     band_hashes,
     deduplicated,
     grouped,
@@ -147,3 +150,44 @@ def test_grouping_follows_long_chains(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 400) if i != 200], "a long, b long")
     found = {r.id: r.component for r in grouped(edges).collect()}
     assert found == {i: 0 if i <= 200 else 201 for i in range(401)}
+
+
+def held_sets(spark, sets, outside=lambda i: True):
+    rows = [(i, i, outside(i), [int(x) for x in own]) for i, own in enumerate(sets)]
+    schema = "id long, component long, outside boolean, hashes array<long>"
+    return spark.createDataFrame(rows, schema).repartition(4)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_prefixes_meet_every_near_pair(spark, seed):
+    rng = np.random.default_rng(seed)
+    words = rng.integers(-(1 << 62), 1 << 62, 40)
+    sets = []
+    for _ in range(60):
+        base = rng.choice(words, rng.integers(1, 30), replace=False)
+        sets += [base, *(rng.permutation(base)[k:] for k in range(1, 4) if k < len(base))]
+        sets.append(np.union1d(base, rng.choice(words, 2)))
+    plain = [set(map(int, own)) for own in sets]
+    near = {
+        (i, j)
+        for j in range(len(plain))
+        for i in range(j)
+        if 100 * len(plain[i] & plain[j]) >= 80 * len(plain[i] | plain[j]) and (i % 3 == 0 or j % 3 == 0)
+    }
+    met = _prefix_pairs(held_sets(spark, sets, lambda i: i % 3 == 0), 80).collect()
+    assert len(near) > 100 and near <= {(r.a, r.b) for r in met}
+
+
+@pytest.mark.parametrize("shared, own", [(4, 1), (16, 4), (80, 14)])
+def test_pages_of_a_template_meet_in_proportion(spark, shared, own):
+    """Pages that differ in too many shingles to be near: joined rows grow as the pages do."""
+    rng = np.random.default_rng(shared)
+    template = rng.integers(-(1 << 62), 1 << 62, shared)
+    joined = {}
+    for pages in (1000, 4000):
+        sets = [np.append(template, rng.integers(-(1 << 62), 1 << 62, own)) for _ in range(pages)]
+        sums = _prefixes(held_sets(spark, sets), 80).groupBy("shingle").agg(
+            F.count(F.lit(1)).alias("long"), F.sum(F.col("short").cast("long")).alias("short")
+        )
+        joined[pages] = sums.agg(F.sum(F.col("long") * F.col("short"))).first()[0]
+    assert joined[4000] <= 5 * joined[1000]
