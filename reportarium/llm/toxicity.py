@@ -35,7 +35,7 @@ LENGTHS = (3, 4, 5, 6, 7, 8, 10, 0)
 BITS = 18
 SPACE = len(LENGTHS) << BITS
 #: Bytes of text whose patterns are held at once.
-TEXTS = 1 << 20
+TEXTS = 1 << 18
 #: Patterns the classifier has at most.
 PATTERNS = 4096
 #: A lexicon's patterns: their likelihood ratio at least (beyond what the best of a million
